@@ -90,11 +90,12 @@ quoted AS (
 cols AS (
   SELECT line_id, ok, CASE WHEN ok THEN list_transform(regexp_extract_all(chr(9) || line, '(?s)\t("(?:[^"]|"")*"|[^"\t]*)', 1),
     lambda c: CASE WHEN starts_with(c, '"') THEN replace(substring(c, 2, length(c) - 2), '""', '"') ELSE c END) END AS c FROM quoted),
+terms AS (SELECT list(consequence) AS t FROM consequence_terms),
 judged AS (
   SELECT line_id, c, CASE WHEN NOT ok THEN 'quoting' WHEN len(c) <> 6 THEN 'columns'
     WHEN NOT (regexp_full_match(c[2], '[0-9]+') AND coalesce(TRY_CAST(c[2] AS HUGEINT) BETWEEN 1 AND 2147483647, false)
-              AND len(list_filter(string_split(c[6], '&'), lambda x: NOT list_contains((SELECT list(consequence) FROM consequence_terms), x))) = 0) THEN 'value' END AS reason
-  FROM cols)
+              AND len(list_filter(string_split(c[6], '&'), lambda x: NOT list_contains(t, x))) = 0) THEN 'value' END AS reason
+  FROM cols, terms)
 """
 
 SQL = {
