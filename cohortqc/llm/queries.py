@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortqc.llm import components, cutoffs, percentiles, topn
+from cohortqc.llm import components, cutoffs, mixing, packing, percentiles, topn
 from cohortqc.session import read_table
 
 
@@ -44,7 +44,27 @@ def p5_new_best_match(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("data_sample", best["microarray_sample"].alias("best_match_microarray_sample"), "score")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_days, p4_found, p4_cutoffs, p5_found, p5_new_best_match)}
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf, "documents"))
+
+
+def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.fill_report(p8_containers(spark, sf))
+
+
+def _p9(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix_documents(read_table(spark, sf, "documents"), read_table(spark, sf, "mix_targets"))
+
+
+def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return _p9(spark, sf)[0]
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return _p9(spark, sf)[1]
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_days, p4_found, p4_cutoffs, p5_found, p5_new_best_match, p8_containers, p8_fill, p9_mix, p9_shares)}
 
 _P2_SQL = """
 WITH RECURSIVE links AS (
