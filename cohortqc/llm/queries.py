@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortqc.llm import components, cutoffs, mixing, packing, percentiles, topn
+from cohortqc.llm import components, cutoffs, mixing, packing, percentiles, spans, topn
 from cohortqc.session import read_table
 
 
@@ -64,7 +64,15 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return _p9(spark, sf)[1]
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_days, p4_found, p4_cutoffs, p5_found, p5_new_best_match, p8_containers, p8_fill, p9_mix, p9_shares)}
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return spans.SharedSpans(read_table(spark, sf, "documents")).pairs()
+
+
+def p10_shared_chars(spark: SparkSession, sf: str) -> DataFrame:
+    return spans.SharedSpans(read_table(spark, sf, "documents")).shared_chars()
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_days, p4_found, p4_cutoffs, p5_found, p5_new_best_match, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_shared_chars)}
 
 _P2_SQL = """
 WITH RECURSIVE links AS (
