@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from cohortqc.functions import genetics as G
@@ -38,7 +39,7 @@ def hwe_midp(n_ref: int, n_het: int, n_var: int) -> float:
     return float(min(1.0, p[(p < seen) & ~same].sum() + p[same].sum() / 2))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def hwe_p(it: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     known: dict[tuple, float] = {}  # the same counts recur
     for ref, het, var in it:

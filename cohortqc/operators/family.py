@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortqc.functions import genetics as G
 from cohortqc.operators.joins import trio_entries
@@ -73,7 +74,7 @@ def transmissions(kid: str = "kid_gt", dad: str = "dad_gt", mom: str = "mom_gt")
     return F.when(fine, t), F.when(fine, het - t)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Upper tail of chi-square with one degree of freedom."""
     tail = np.frompyfunc(lambda x: math.erfc(math.sqrt(x / 2)) if x == x else float("nan"), 1, 1)

@@ -528,7 +528,7 @@ def consequence_by_tier(spark, c):
     return A.consequence_by_tier(joins.annotate(c.variants.select("vid", "consequence"), ac, ["vid"], [f"{t}_pass_count" for t in tiers.TIERS]))
 
 
-_GRID_SQL = """g AS (SELECT *, printf('bin_%03d_DP_%02d_GQ_%02d_AB_%.2f_missing_%.2f', bin, pdp, pgq, pab, pcr) AS point FROM
+_GRID_SQL = """g AS (SELECT *, CAST(row_number() OVER (ORDER BY bin, pdp, pgq, pab, pcr) AS INTEGER) AS pid, printf('bin_%03d_DP_%02d_GQ_%02d_AB_%.2f_missing_%.2f', bin, pdp, pgq, pab, pcr) AS point FROM
   (SELECT unnest([40, 70, 90]) AS bin), (SELECT unnest([40, 70]) AS pdp), (SELECT unnest([50, 60]) AS pgq), (SELECT unnest([0.2::DOUBLE, 0.4::DOUBLE]) AS pab), (SELECT unnest([0.1::DOUBLE, 0.3::DOUBLE]) AS pcr))"""
 _PASSES = f"NOT ((gt = 1 AND ({_AB}) < pab) OR dp < pdp OR gq < pgq)"
 _KEPT = f"""{_GRID_SQL}, ev AS (SELECT e.*, rf_bin FROM ents e JOIN vars USING (vid)), kp AS (SELECT point, vid FROM ev JOIN g ON rf_bin <= bin AND {_PASSES} GROUP BY point, vid, pcr HAVING CAST(count(*) AS DOUBLE) / 25 > pcr AND sum(gt) > 0)"""
@@ -562,12 +562,12 @@ def grid_mendel(spark, c):
 
 
 @query(
-    f"""{WITH}, {_KEPT}, fe AS (SELECT e.vid, sid, gt, dp, gq, ad_alt FROM ents e JOIN vars USING (vid) WHERE consequence = 'synonymous_variant' AND sid <= 23),
-  pe AS (SELECT g.point, fe.vid, sid, gt FROM fe JOIN g ON {_PASSES} SEMI JOIN kp ON kp.point = g.point AND kp.vid = fe.vid),
-  tr AS (SELECT point, vid, sid // 3 AS fam, max(gt) FILTER (WHERE sid % 3 = 0) AS kid_gt, max(gt) FILTER (WHERE sid % 3 = 1) AS dad_gt, max(gt) FILTER (WHERE sid % 3 = 2) AS mom_gt,
-    sum(gt) FILTER (WHERE sid % 3 <> 0) AS parents FROM pe GROUP BY ALL), sg AS (SELECT point, vid FROM tr GROUP BY ALL HAVING sum(parents) = 1),
-  {_TU.replace("FROM tr)", "FROM tr SEMI JOIN sg ON sg.point = tr.point AND sg.vid = tr.vid)")}, s AS (SELECT point, coalesce(sum(t), 0) AS t, coalesce(sum(u), 0) AS u FROM tu GROUP BY point)
-  SELECT g.point, CASE WHEN u > 0 THEN CAST(t AS DOUBLE) / u ELSE -1 END AS t_u_ratio FROM g LEFT JOIN s ON s.point = g.point"""
+    f"""{WITH}, {_KEPT.replace('point, vid', 'pid, vid')}, fe AS (SELECT vid, sid, gt, dp, gq, ad_alt FROM ents WHERE sid <= 23 AND vid IN (SELECT p_partkey FROM part WHERE p_type = 'ECONOMY')),
+  pe AS (SELECT g.pid, fe.vid, sid, gt FROM fe JOIN g ON {_PASSES} SEMI JOIN kp ON kp.pid = g.pid AND kp.vid = fe.vid),
+  tr AS (SELECT pid, vid, sid // 3 AS fam, max(gt) FILTER (WHERE sid % 3 = 0) AS kid_gt, max(gt) FILTER (WHERE sid % 3 = 1) AS dad_gt, max(gt) FILTER (WHERE sid % 3 = 2) AS mom_gt,
+    sum(gt) FILTER (WHERE sid % 3 <> 0) AS parents FROM pe GROUP BY ALL), sg AS (SELECT pid, vid FROM tr GROUP BY ALL HAVING sum(parents) = 1),
+  {_TU.replace("FROM tr)", "FROM tr SEMI JOIN sg ON sg.pid = tr.pid AND sg.vid = tr.vid)")}, s AS (SELECT pid, coalesce(sum(t), 0) AS t, coalesce(sum(u), 0) AS u FROM tu GROUP BY pid)
+  SELECT g.point, CASE WHEN u > 0 THEN CAST(t AS DOUBLE) / u ELSE -1 END AS t_u_ratio FROM g LEFT JOIN s ON s.pid = g.pid"""
 )
 def grid_transmission(spark, c):
     g, kept = _grid(spark, c)
