@@ -22,11 +22,11 @@ def duplicates(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataF
 
 def hwe_midp(n_ref: int, n_het: int, n_var: int) -> float:
     """Exact test of Hardy-Weinberg equilibrium with the mid-p correction: the probabilities of all numbers of
-    heterozygotes that are less likely than the observed one, and half of those as likely."""
+    heterozygotes that are less likely than the observed one, and half of those as likely (0.5 without variation)."""
     n = n_ref + n_het + n_var
     rare = 2 * min(n_ref, n_var) + n_het
-    if not n or not rare:
-        return 1.0 if n else float("nan")
+    if not n:
+        return float("nan")
     hets = np.arange(rare % 2, rare + 1, 2)
     # log of n! / (hom! het! hom!) * 2^het, up to a constant
     lg = np.frompyfunc(math.lgamma, 1, 1)
