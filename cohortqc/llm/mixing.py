@@ -2,8 +2,8 @@
 
 Subset-sum budget fitting: documents are counted by exact token length per source; whole copies of the source
 take what they can of its budget; of the rest every length first gives its proportional number of documents, and
-a bounded-knapsack dynamic program over the lengths still available hits the remaining budget exactly (or comes
-as near from below as any choice can). Which documents of a length are taken is decided by a seeded hash.
+a bounded-knapsack dynamic program over the lengths still available hits the remaining budget exactly, or comes as
+near from below as these lengths allow. Which documents of a length are taken is decided by a seeded hash.
 
 Scale: the program works on counts by length, one source per task, however many documents there are. The
 selection ranks documents only within (source, length, hash bucket); a length that many documents share is
@@ -83,6 +83,12 @@ def choose(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         if parts[k] > 0 and lengths[k] <= rest and take[k] < counts[k]:
             take[k] += 1
             rest -= int(lengths[k])
+    for k in np.argsort(lengths, kind="stable"):  # the shortest are decided anew: they fit most remainders
+        back = min(2, int(take[k]))
+        if rest + back * int(lengths[k]) > 2 * PROGRAM_TOKENS:
+            break
+        take[k] -= back
+        rest += back * int(lengths[k])
     return take + knapsack(lengths, counts - take, rest)
 
 
