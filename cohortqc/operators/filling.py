@@ -18,12 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from cohortqc.functions.ids import is_number
+from cohortqc.session import materialize
 
 VARIANT_TYPES = ("snv", "indel", "multi-snv", "multi-indel", "mixed")
 #: Neighbours further away than this many days are not used.
 GAP_DAYS = 30.0
 #: percentile_approx keeps this many points: the fallback median's rank is off by at most n / MEDIAN_ACCURACY.
 MEDIAN_ACCURACY = 10_000
+#: Tables with one row per entity are broadcast up to this size.
+BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -83,6 +86,11 @@ def _neighbours(df: DataFrame, entity: list[str], values: list[str]) -> DataFram
     return joined.select(*df.columns, *out)
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if it is no longer than BROADCAST_ROWS: then a hot key needs no shuffle."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def _days(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))) / F.lit(86_400_000_000.0)
 
@@ -138,7 +146,7 @@ def fill_gaps(
     gaps = (
         near.where("cat is null")
         .join(most_frequent(sites, "of_site"), sites, "left")
-        .join(most_frequent(["entity"], "of_entity"), "entity", "left")
+        .join(_small(materialize(most_frequent(["entity"], "of_entity"))), "entity", "left")
         .withColumn("one", F.lit(1))
         .join(F.broadcast(most_frequent([], "of_all").withColumn("one", F.lit(1))), "one", "left")  # a single row
     )
