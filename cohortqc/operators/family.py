@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from cohortqc.functions import genetics as G
 from cohortqc.operators.joins import trio_entries
+from cohortqc.session import materialize
 
 
 def mendel_code(kid: str = "kid_gt", dad: str = "dad_gt", mom: str = "mom_gt", haploid: Column | None = None) -> Column:
@@ -130,7 +131,8 @@ def founder_singletons(entries: DataFrame, trios: DataFrame) -> DataFrame:
 
 def transmission_ratio(entries: DataFrame, trios: DataFrame, variants: DataFrame) -> DataFrame:
     """(trans, untrans, ratio) over founder singletons of ``variants``; the ratio is -1 without untransmitted ones."""
-    some = entries.join(variants.select("vid"), "vid", "left_semi")
+    members = trios.select(F.explode(F.array("kid", "dad", "mom")).alias("sid")).distinct()
+    some = materialize(entries.join(variants.select("vid"), "vid", "left_semi").join(members, "sid", "left_semi").select("vid", "sid", "gt"))  # used twice
     single = founder_singletons(some, trios)
     counts = tdt(trio_entries(some.join(single, "vid", "left_semi"), trios), p_value=False)
     both = counts.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("trans"), F.coalesce(F.sum("u"), F.lit(0)).alias("untrans"))

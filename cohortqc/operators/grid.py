@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from cohortqc.functions import genetics as G
 from cohortqc.operators import family
 from cohortqc.operators.joins import trio_entries
+from cohortqc.session import bounded_rows, materialize
+
+#: Points of one grid.
+MAX_POINTS = 10_000
 
 POINT = "bin int, dp int, gq int, ab double, call_rate double, point string"
 
@@ -54,10 +58,21 @@ def _with_levels(entries: DataFrame, levels: dict[str, list]) -> DataFrame:
     return entries.withColumns({"l_dp": _level(F.col("dp"), levels["dp"]), "l_gq": _level(F.col("gq"), levels["gq"]), "l_ab": ab}).where("l_dp is not null and l_gq is not null and l_ab is not null")
 
 
-def _point_levels(grid: DataFrame, levels: dict[str, list]) -> DataFrame:
-    """The level that each point asks for; points are few and are broadcast."""
-    need = lambda c: sum((F.when(F.col(c) >= t, 1).otherwise(0) for t in levels[c]), F.lit(0))
-    return grid.select("*", need("dp").alias("p_dp"), need("gq").alias("p_gq"), need("ab").alias("p_ab"))
+def _admitting(grid: DataFrame, levels: dict[str, list]) -> DataFrame:
+    """The points that each level cell meets: (l_dp, l_gq, l_ab, point, bin, call_rate, p_dp, p_gq, p_ab).
+
+    Parameters of a run, at most levels^3 rows per point: they are broadcast and meet the cells by equality.
+    """
+    need = lambda r, c: sum(r[c] >= t for t in levels[c])
+    rows = []
+    for r in bounded_rows(grid, MAX_POINTS, "grid points"):
+        low = (need(r, "dp"), need(r, "gq"), need(r, "ab"))
+        for cell in itertools.product(*[range(k, len(levels[c]) + 1) for k, c in zip(low, ("dp", "gq", "ab"), strict=True)]):
+            rows.append((*cell, r["point"], r["bin"], r["call_rate"], *low))
+    return F.broadcast(grid.sparkSession.createDataFrame(rows, "l_dp int, l_gq int, l_ab int, point string, bin int, call_rate double, p_dp int, p_gq int, p_ab int"))
+
+
+_CELL = ["l_dp", "l_gq", "l_ab"]
 
 
 def surviving(entries: DataFrame, variants: DataFrame, grid: DataFrame, n_samples: int) -> DataFrame:
@@ -65,8 +80,7 @@ def surviving(entries: DataFrame, variants: DataFrame, grid: DataFrame, n_sample
     and a passing call is not the reference."""
     levels = _levels(grid)
     cells = _with_levels(entries.join(variants.select("vid", "rf_bin"), "vid"), levels).groupBy("vid", "rf_bin", "l_dp", "l_gq", "l_ab").agg(F.count("*").alias("n"), F.count_if(F.col("gt") > 0).alias("alts"))
-    p = F.broadcast(_point_levels(grid, levels))  # the parameters of a run
-    admitted = cells.join(p, (cells["rf_bin"] <= p["bin"]) & (cells["l_dp"] >= p["p_dp"]) & (cells["l_gq"] >= p["p_gq"]) & (cells["l_ab"] >= p["p_ab"]))
+    admitted = cells.join(_admitting(grid, levels), _CELL).where("rf_bin <= bin")
     per = admitted.groupBy("point", "call_rate", "vid").agg(F.sum("n").alias("n"), F.sum("alts").alias("alts"))
     return per.where((F.col("n").cast("double") / n_samples > F.col("call_rate")) & (F.col("alts") > 0)).select("point", "vid")
 
@@ -89,21 +103,20 @@ def mendel(entries: DataFrame, trios: DataFrame, kept: DataFrame, grid: DataFram
     # without a parent's call fewer errors can be told, so an error needs one with either parent's call at hand
     k, d, m = F.col("kid_gt"), F.col("dad_gt"), F.col("mom_gt")
     suspect = trio.where(((k == 2) & ((d == 0) | (m == 0))) | ((k == 0) & ((d == 2) | (m == 2))) | ((k == 1) & (((d == 2) & (m == 2)) | ((d == 0) & (m == 0)))))
-    p = F.broadcast(_point_levels(grid, levels).select("point", "p_dp", "p_gq", "p_ab"))
+    p = _admitting(grid, levels).select(*[F.col(c).alias(f"kid_{c}") for c in _CELL], "point", "p_dp", "p_gq", "p_ab")
     ok = lambda r: (F.col(f"{r}_l_dp") >= F.col("p_dp")) & (F.col(f"{r}_l_gq") >= F.col("p_gq")) & (F.col(f"{r}_l_ab") >= F.col("p_ab"))
-    judged = suspect.join(p, ok("kid")).join(kept, ["point", "vid"], "left_semi")
+    judged = suspect.join(F.broadcast(p), [f"kid_{c}" for c in _CELL]).join(kept, ["point", "vid"], "left_semi")
     judged = judged.withColumns({f"{r}_gt": F.when(ok(r), F.col(f"{r}_gt")) for r in ("dad", "mom")})
     errors = family.mendel_errors(judged).groupBy("point", "kid").agg(F.count("*").alias("errors"))
-    sizes = kept.groupBy("point").agg(F.count("*").alias("n_variants"))
-    kids = trios.select("kid").distinct()
-    rate = _each_kid(grid, sizes, kids).join(errors, ["point", "kid"], "left").select("point", F.try_divide(F.coalesce("errors", F.lit(0)).cast("double"), F.col("n_variants").cast("double")).alias("r"))
-    return rate.groupBy("point").agg(F.avg("r").alias("mendelian_error_mean"), F.stddev_pop("r").alias("mendelian_error_std"))
-
-
-def _each_kid(grid: DataFrame, sizes: DataFrame, kids: DataFrame) -> DataFrame:
-    """Every point with every proband: parameters of the run by pedigree rows."""
-    listed = kids.agg(F.collect_set("kid").alias("kids")).withColumn("one", F.lit(1))
-    return grid.select("point").join(sizes, "point", "left").withColumn("one", F.lit(1)).join(F.broadcast(listed), "one").select("point", "n_variants", F.explode("kids").alias("kid"))
+    sums = errors.groupBy("point").agg(F.sum("errors").alias("e"), F.sum(F.col("errors") * F.col("errors")).alias("ee"))
+    sizes = kept.groupBy("point").agg(F.count("*").cast("double").alias("n"))
+    kids = max(1, trios.select("kid").distinct().count())
+    # probands without an error count with 0, so the moments need only their number
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double") / kids
+    spread = F.sqrt(F.greatest(F.lit(0.0), zero("ee") - zero("e") * zero("e")))
+    return grid.select("point").join(sizes, "point", "left").join(sums, "point", "left").select(
+        "point", F.try_divide(zero("e"), F.col("n")).alias("mendelian_error_mean"), F.try_divide(spread, F.col("n")).alias("mendelian_error_std")
+    )
 
 
 def transmission(entries: DataFrame, trios: DataFrame, variants: DataFrame, kept: DataFrame, grid: DataFrame) -> DataFrame:
@@ -114,8 +127,8 @@ def transmission(entries: DataFrame, trios: DataFrame, variants: DataFrame, kept
     members = trios.select(F.explode(F.array("kid", "dad", "mom")).alias("sid")).distinct()
     founders = members.join(trios.select(F.col("kid").alias("sid")), "sid", "left_anti").withColumn("founder", F.lit(True))
     e = _with_levels(entries.join(syn, "vid", "left_semi").join(F.broadcast(members), "sid", "left_semi"), levels)
-    p = F.broadcast(_point_levels(grid, levels).select("point", "p_dp", "p_gq", "p_ab"))
-    admitted = e.join(p, (F.col("l_dp") >= F.col("p_dp")) & (F.col("l_gq") >= F.col("p_gq")) & (F.col("l_ab") >= F.col("p_ab"))).join(kept, ["point", "vid"], "left_semi")
+    p = _admitting(grid, levels).select(*_CELL, "point")
+    admitted = materialize(e.join(F.broadcast(p), _CELL).join(kept, ["point", "vid"], "left_semi").select("point", "vid", "sid", "gt"))
     single = admitted.join(F.broadcast(founders), "sid").groupBy("point", "vid").agg(F.sum("gt").alias("ac")).where("ac = 1").select("point", "vid")
     some = admitted.join(single, ["point", "vid"], "left_semi").select(F.struct("point", "vid").alias("vid"), "sid", "gt")
     t, u = family.transmissions()
@@ -144,20 +157,17 @@ def grid_precision_recall(entries: DataFrame, kept: DataFrame, control: DataFram
     """(point, prec, recall) of one sample's non-reference variants against a control set."""
     levels = _levels(grid)
     own = _with_levels(entries.where((F.col("sid") == sample) & (F.col("gt") > 0)), levels)
-    p = F.broadcast(_point_levels(grid, levels).select("point", "p_dp", "p_gq", "p_ab"))
-    test = own.join(p, (F.col("l_dp") >= F.col("p_dp")) & (F.col("l_gq") >= F.col("p_gq")) & (F.col("l_ab") >= F.col("p_ab"))).join(kept, ["point", "vid"], "left_semi").select("point", "vid")
+    p = _admitting(grid, levels).select(*_CELL, "point")
+    test = own.join(F.broadcast(p), _CELL).join(kept, ["point", "vid"], "left_semi").select("point", "vid")
     hit = test.join(control.select("vid", F.lit(1).alias("in_control")), "vid", "left").groupBy("point").agg(F.count("in_control").alias("tp"), F.count("*").alias("test"))
-    total = control.agg(F.count("*").alias("control")).withColumn("one", F.lit(1))
-    j = grid.select("point").join(hit, "point", "left").fillna(0).withColumn("one", F.lit(1)).join(F.broadcast(total), "one")
-    share = lambda of: F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col(of).cast("double")), F.lit(-1.0))
-    return j.select("point", share("test").alias("prec"), share("control").alias("recall"))
+    share = lambda of: F.coalesce(F.try_divide(F.col("tp").cast("double"), of.cast("double")), F.lit(-1.0))
+    return grid.select("point").join(hit, "point", "left").fillna(0).select("point", share(F.col("test")).alias("prec"), share(F.lit(control.count())).alias("recall"))
 
 
 def filter_metrics(results: DataFrame, variants: DataFrame) -> DataFrame:
     """The results with TP and FP as percentages of all, and the parameters read back from the point's name."""
-    total = variants.agg(F.count_if("tp").alias("total_tp"), F.count_if("fp").alias("total_fp")).withColumn("one", F.lit(1))
-    r = results.withColumn("one", F.lit(1)).join(F.broadcast(total), "one").drop("one")
+    total = variants.agg(F.count_if("tp").alias("tp"), F.count_if("fp").alias("fp")).first()
     part = lambda k: F.split_part("point", F.lit("_"), F.lit(k))
-    pc = lambda a, b: F.try_divide(100.0 * F.col(a), F.col(b).cast("double"))
-    named = {"bin": part(2).cast("int"), "DP": part(4).cast("int"), "GQ": part(6).cast("int"), "AB": part(8).cast("double"), "call_rate": part(10).cast("double"), "TP_percent": pc("tp", "total_tp"), "FP_percent": pc("fp", "total_fp")}
-    return r.withColumns(named).drop("total_tp", "total_fp")
+    pc = lambda k: F.try_divide(100.0 * F.col(k), F.lit(float(total[k])))
+    named = {"bin": part(2).cast("int"), "DP": part(4).cast("int"), "GQ": part(6).cast("int"), "AB": part(8).cast("double"), "call_rate": part(10).cast("double"), "TP_percent": pc("tp"), "FP_percent": pc("fp")}
+    return results.withColumns(named)

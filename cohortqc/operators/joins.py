@@ -68,10 +68,12 @@ def trio_entries(entries: DataFrame, trios: DataFrame, fields: Sequence[str] = (
         F.array(*[F.struct(F.col(r).alias("sid"), F.lit(r).alias("role")) for r in ("kid", "dad", "mom")])
     ).alias("m")
     members = trios.where("kid is not null and dad is not null and mom is not null").select("fam_id", "kid", "dad", "mom", roles).select("fam_id", "kid", "dad", "mom", "m.sid", "m.role")
-    tagged = entries.select("vid", "sid", F.struct(*fields).alias("e")).join(members, "sid")
-    each = [F.any_value(F.when(F.col("role") == r, F.col("e")), True).alias(f"_{r}") for r in ("kid", "dad", "mom")]
-    trio = tagged.groupBy("vid", "fam_id", "kid", "dad", "mom").agg(*each)
-    return trio.select("vid", "fam_id", "kid", "dad", "mom", *[F.col(f"_{r}.{f}").alias(f"{r}_{f}") for r in ("kid", "dad", "mom") for f in fields])
+    tagged = entries.select("vid", "sid", *fields).join(members, "sid")
+    simple = ("tinyint", "smallint", "int", "bigint", "double", "boolean")
+    kinds = dict(entries.dtypes)
+    # a member has one entry per variant, so the largest is it; of plain types it is kept in a hash aggregate
+    pick = lambda r, f: (F.max if kinds[f] in simple else lambda c: F.any_value(c, True))(F.when(F.col("role") == r, F.col(f)))
+    return tagged.groupBy("vid", "fam_id", "kid", "dad", "mom").agg(*[pick(r, f).alias(f"{r}_{f}") for r in ("kid", "dad", "mom") for f in fields])
 
 
 def union_cols(left: DataFrame, right: DataFrame, key: str = "vid") -> DataFrame:
