@@ -597,3 +597,49 @@ def precision_recall(spark, c):
     subsets = {"frameshift": F.col("consequence") == "frameshift_variant", "inframe": F.col("consequence").isin("inframe_deletion", "inframe_insertion")}
     return grid.precision_recall(c.variants.where("tp"), c.variants.where("vid % 4 = 0"), ["vid"], subsets)
 
+
+
+# ---- calls as text and with likelihoods ------------------------------------------------------------------------------------
+@query(
+    f"""{WITH}, cells AS (SELECT v.vid, string_agg(coalesce(CASE gt WHEN 0 THEN '0/0' WHEN 1 THEN '0/1' WHEN 2 THEN '1/1' END || ':' || dp || ':' || gq, './.:.:.'), chr(9) ORDER BY s.sid) AS calls
+  FROM (SELECT vid FROM vars) v CROSS JOIN (SELECT sid FROM smp) s LEFT JOIN ents e ON e.vid = v.vid AND e.sid = s.sid GROUP BY v.vid)
+SELECT vid, contig || chr(9) || pos || chr(9) || '.' || chr(9) || ref || chr(9) || alt || chr(9) || '.' || chr(9) || '.' || chr(9) || 'rf_bin=' || rf_bin || CASE WHEN tp THEN ';tp' ELSE '' END || chr(9) || 'GT:DP:GQ' || chr(9) || calls AS line FROM vars JOIN cells USING (vid)"""
+)
+def vcf_export_lines(spark, c):
+    from cohortqc.sources.vcf import vcf_lines
+
+    sites = c.variants.select("vid", "contig", "pos", F.array("ref", "alt").alias("alleles"), "rf_bin", "tp")
+    call = F.struct((F.col("gt") == 2).cast("int").alias("a0"), (F.col("gt") > 0).cast("int").alias("a1"), F.lit(False).alias("phased"))
+    entries = c.entries.join(sites.select("vid", "contig", "pos", "alleles"), "vid").select("contig", "pos", "alleles", F.col("sid").cast("string").alias("s"), call.alias("gt"), "dp", "gq")
+    lines = vcf_lines(sites, entries, [str(k) for k in range(25)], ["rf_bin", "tp"], ["gt", "dp", "gq"])
+    return lines.join(sites.select("vid", "contig", "pos", "alleles"), ["contig", "pos", "alleles"]).select("vid", "line")
+
+
+_PL = "CASE gt WHEN 0 THEN [0, gq, 2 * gq] WHEN 1 THEN [gq, 0, gq] ELSE [2 * gq, gq, 0] END"
+_POST = lambda r, k: f"(power(10.0::DOUBLE, -{r}_pl[{k + 1}] / 10.0::DOUBLE) / (power(10.0::DOUBLE, -{r}_pl[1] / 10.0::DOUBLE) + power(10.0::DOUBLE, -{r}_pl[2] / 10.0::DOUBLE) + power(10.0::DOUBLE, -{r}_pl[3] / 10.0::DOUBLE)))"
+
+
+@query(
+    f"""{WITH}, {_VC}, pe AS (SELECT vid, sid, gt, gq, dp, ad_alt, {_PL} AS pl FROM ents), q AS (
+  SELECT k.vid, t.kid, CAST(k.ad_alt AS DOUBLE) / k.dp AS kid_ab, CAST(k.dp AS DOUBLE) / (d.dp + m.dp) AS dp_ratio, ac, k.dp AS kid_dp, k.pl AS kid_pl, d.pl AS dad_pl, m.pl AS mom_pl, {_SNP} AS is_snv,
+    greatest(CAST(ac - 1 AS DOUBLE) / (an - 1), CAST(freq_ac AS DOUBLE) / 1000, 100 / 3e7) AS prior
+  FROM trios t JOIN pe k ON k.sid = t.kid AND k.gt = 1 JOIN pe d ON d.vid = k.vid AND d.sid = t.dad AND d.gt = 0 JOIN pe m ON m.vid = k.vid AND m.sid = t.mom AND m.gt = 0 JOIN vars ON vars.vid = k.vid JOIN vc ON vc.vid = k.vid
+  WHERE k.gq >= 20 AND CAST(d.ad_alt AS DOUBLE) / d.dp <= 0.2 AND CAST(m.ad_alt AS DOUBLE) / m.dp <= 0.2),
+  r AS (SELECT *, {_POST('dad', 0)} * {_POST('mom', 0)} * {_POST('kid', 1)} / 3e7 AS n, ({_POST('dad', 1)} * {_POST('mom', 0)} + {_POST('dad', 0)} * {_POST('mom', 1)}) * {_POST('kid', 1)} * (1 - power(1 - prior, 4)) AS x FROM q WHERE kid_ab >= 0.2 AND dp_ratio >= 0.1),
+  f AS (SELECT *, n / (n + x) AS p FROM r) SELECT vid, kid, round(p, 9) AS p_de_novo,
+  CASE WHEN CASE WHEN is_snv THEN (p > 0.99 AND kid_ab > 0.3 AND dp_ratio > 0.2) OR (p > 0.99 AND kid_ab > 0.3 AND ac = 1) OR (p > 0.5 AND kid_ab > 0.3 AND ac = 1 AND kid_dp > 10) ELSE p > 0.99 AND kid_ab > 0.3 AND ac = 1 END THEN 'HIGH'
+    WHEN p > 0.5 AND kid_ab > 0.3 THEN 'MEDIUM' ELSE 'LOW' END AS confidence FROM f WHERE p >= 1e-9"""
+)
+def de_novo(spark, c):
+    """Likelihoods are made from the calls and their quality; the limits are wide, as the made-up reads are noisy."""
+    g = F.col("gq")
+    pl = F.when(F.col("gt") == 0, F.array(F.lit(0), g, 2 * g)).when(F.col("gt") == 1, F.array(g, F.lit(0), g)).otherwise(F.array(2 * g, g, F.lit(0)))
+    trio = joins.trio_entries(c.entries.withColumn("pl", pl).withColumn("ad", F.array("ad_ref", "ad_alt")), c.trios, ("gt", "gq", "pl", "ad"))
+    sites = A.variant_counts(c.entries, 25).select("vid", "ac", "an").join(c.variants.select("vid", (F.col("freq_ac").cast("double") / 1000).alias("pop_af"), G.is_snp().alias("is_snv")), "vid")
+    found = family.de_novo(trio, sites, min_p=1e-9, max_parent_ab=0.2)
+    return found.select("vid", "kid", F.round("p_de_novo", 9).alias("p_de_novo"), "confidence")
+
+
+@query(f"{WITH} SELECT bin, count(*) AS n, count(*) FILTER (WHERE tp) AS n_tp, min(score) AS min_score, max(score) AS max_score FROM (SELECT *, rf_bin AS bin FROM vars) GROUP BY bin")
+def bin_summary(spark, c):
+    return c.variants.groupBy(F.col("rf_bin").alias("bin")).agg(F.count("*").alias("n"), F.count_if("tp").alias("n_tp"), F.min("score").alias("min_score"), F.max("score").alias("max_score"))
