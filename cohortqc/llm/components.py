@@ -29,6 +29,8 @@ from cohortqc.session import materialize, release
 CELL_EDGES = 500_000
 #: The first round uses at least this many blocks a side.
 MIN_BLOCKS = 3
+#: A round's table of parents is broadcast up to this size.
+BROADCAST_PARENTS = 500_000
 
 
 def local_roots(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
@@ -118,9 +120,13 @@ def connected_groups(pairs: DataFrame, cell_edges: int = CELL_EDGES, min_blocks:
     if not parents:
         release(edges)
         return pairs.select(F.col("a").alias("v"), F.col("a").alias("group_id")).where("false")
+    size = parents[-1].count()
     done = parents.pop().select("v", F.col("parent").alias("group_id"))
     while parents:
         upper = done.select(F.col("v").alias("parent"), F.col("group_id").alias("final"))
+        if size <= BROADCAST_PARENTS:  # then a parent of very many vertices needs no shuffle by parent
+            upper = F.broadcast(upper)
+        size = parents[-1].count()
         done = parents.pop().join(upper, "parent", "left").select("v", F.coalesce("final", "parent").alias("group_id"))
     return done
 
