@@ -40,7 +40,7 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     if not _WRITTEN:
-        atexit.register(_clear)
+        atexit.register(clear_tables)
     _WRITTEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
@@ -61,7 +61,8 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def _clear() -> None:
+def clear_tables() -> None:
+    """Remove all materialised tables; for long sessions, once their results have been used."""
     for spark, path in _WRITTEN:
         try:
             _delete(spark, path)
