@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from cohortqc.llm.tokens import VOCABULARY, document_sizes
+from cohortqc.llm.tokens import VOCABULARY, document_sizes, encoder
 from cohortqc.session import materialize
 
 CAPACITY = 2048
@@ -148,6 +148,27 @@ def pack_documents(documents: DataFrame, capacity: int = CAPACITY, vocabulary: s
     return fill_containers(materialize(document_sizes(documents, vocabulary)), capacity, **options)
 
 
+def container_tokens(placed: DataFrame, documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(container_id, place, doc_id, part, ids): the token ids of every piece. A document is encoded once, whatever its parts.
+
+    ``doc_id`` must be unique in ``documents``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(vocabulary)
+        for batch in batches:
+            rows = []
+            for doc, ids, parts in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist()), batch.column("parts").to_pylist(), strict=True):
+                rows += [(p["container_id"], p["place"], doc, p["part"], ids[p["first_token"] : p["first_token"] + p["tokens"]]) for p in parts]
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["container_id", "place", "doc_id", "part", "ids"])
+
+    parts = placed.groupBy("doc_id").agg(F.collect_list(F.struct("container_id", "place", "part", "first_token", "tokens")).alias("parts"))  # of one document
+    texts = documents.select("doc_id", "text").where("text is not null").join(parts, "doc_id")
+    return texts.mapInArrow(run, "container_id long, place int, doc_id long, part int, ids array<int>")
+
+
 def fill_report(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(fill_percent, containers, items, tokens): how full the containers are, by whole percents."""
     per = placed.groupBy("container_id").agg(F.sum("tokens").alias("t"), F.count("*").alias("items"))

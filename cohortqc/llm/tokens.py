@@ -12,33 +12,39 @@ from pyspark.sql import functions as F
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # fixed value: the pre-tokenizer pattern that belongs to the byte-level vocabularies
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_COUNTERS: dict[str, Callable[[list[str]], list[int]]] = {}
+_ENCODERS: dict[str, Callable[[list[str]], list[list[int]]]] = {}
 
 
-def counter(path: str = VOCABULARY) -> Callable[[list[str]], list[int]]:
-    """A function that gives the number of tokens of each text; the kind of vocabulary follows from the file's ending."""
-    if path not in _COUNTERS:
+def encoder(path: str = VOCABULARY) -> Callable[[list[str]], list[list[int]]]:
+    """A function that gives the token ids of each text; the kind of vocabulary follows from the file's ending."""
+    if path not in _ENCODERS:
         if path.endswith(".tiktoken"):
             import tiktoken
 
             with open(path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             encoding = tiktoken.Encoding("vocabulary", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
-            _COUNTERS[path] = lambda texts: [len(encoding.encode_ordinary(t)) for t in texts]
+            _ENCODERS[path] = lambda texts: [encoding.encode_ordinary(t) for t in texts]
         elif path.endswith(".json"):
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(path)
             tokenizer.encode_special_tokens = True
-            _COUNTERS[path] = lambda texts: [len(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+            _ENCODERS[path] = lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
         elif path.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
-            _COUNTERS[path] = lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
+            _ENCODERS[path] = lambda texts: model.encode(texts, num_threads=1)
         else:
             raise ValueError(f"unknown kind of vocabulary: {path}")
-    return _COUNTERS[path]
+    return _ENCODERS[path]
+
+
+def counter(path: str = VOCABULARY) -> Callable[[list[str]], list[int]]:
+    """A function that gives the number of tokens of each text."""
+    encode = encoder(path)
+    return lambda texts: [len(ids) for ids in encode(texts)]
 
 
 def document_sizes(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:

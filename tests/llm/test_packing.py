@@ -69,3 +69,22 @@ def test_same_rows_whatever_the_partitions(spark):
     data = [(k, "ab"[k % 2], k % 97 + 1) for k in range(500)]
     cols = ("container_id", "place", "doc_id", "tokens")
     assert rows(K.fill_containers(frame(spark, data), 200, shard_tokens=5000), *cols) == rows(K.fill_containers(frame(spark, data[::-1]).repartition(7), 200, shard_tokens=5000), *cols)
+
+
+def test_round_trip(spark):
+    import os
+
+    from cohortqc.llm import tokens
+
+    if not os.path.exists(tokens.VOCABULARY):
+        pytest.skip("no public vocabulary here")
+    rnd = random.Random(7)
+    texts = {k: "".join(rnd.choice(["word ", "Straße ", "🧬", "12 ", "\n"]) for _ in range(rnd.choice([0, 3, 40, 900]))) for k in range(60)}
+    docs = spark.createDataFrame([(k, t, "a") for k, t in texts.items()] + [(99, None, "a")], "doc_id long, text string, source string")
+    placed = K.pack_documents(docs, 128)
+    per = {}
+    for r in K.container_tokens(placed, docs).collect():
+        per.setdefault(r["doc_id"], []).append((r["part"], r["ids"]))
+    assert set(per) == {k for k, t in texts.items() if t}
+    want = tokens.encoder()(list(texts.values()))
+    assert all([i for _, ids in sorted(per[k]) for i in ids] == w for k, w in zip(texts, want, strict=True) if w)
