@@ -143,12 +143,12 @@ def fill_gaps(
         counted = tally.where(" and ".join([f"{k} is not null" for k in keys] or ["true"])).groupBy(*keys, "cat").agg(F.count("*").alias("n"))
         return counted.groupBy(*keys).agg(F.min_by("cat", F.struct(-F.col("n"), "cat")).alias(name))
 
+    of_all = most_frequent([], "of_all").first()  # one value
     gaps = (
         near.where("cat is null")
         .join(most_frequent(sites, "of_site"), sites, "left")
         .join(_small(materialize(most_frequent(["entity"], "of_entity"))), "entity", "left")
-        .withColumn("one", F.lit(1))
-        .join(F.broadcast(most_frequent([], "of_all").withColumn("one", F.lit(1))), "one", "left")  # a single row
+        .withColumn("of_all", F.lit(of_all["of_all"] if of_all else None).cast("string"))
     )
     p, n = F.col("p_cat"), F.col("n_cat")
     dp, dn = _days(F.col("t"), p["t"]), _days(n["t"], F.col("t"))
@@ -167,15 +167,15 @@ def fill_gaps(
     )
     keep = ["row_id", "entity", "t", "day", *[f"num{k}" for k in range(len(names))]]
     known = base.where("cat is not null").select(*keep, _pick((F.lit(True), F.col("cat"), F.lit(0.0), "observed")).alias("c"))
-    rows = known.unionByName(filled.select(*keep, "c")).withColumn("kind", F.coalesce(F.col("c")["value"], F.lit("\0")))
+    rows = materialize(known.unionByName(filled.select(*keep, "c")).withColumn("kind", F.coalesce(F.col("c")["value"], F.lit("\0"))))
 
     values = [f"num{k}" for k in range(len(names))]
     near = _neighbours(rows, ["entity", "kind"], values)
     # at most a row per kind (a closed list), and one
     medians = [F.percentile_approx(v, 0.5, MEDIAN_ACCURACY).alias(f"of_kind_{v}") for v in values]
     near = near.join(F.broadcast(rows.groupBy("kind").agg(*medians)), "kind", "left")
-    overall = rows.agg(*[F.percentile_approx(v, 0.5, MEDIAN_ACCURACY).alias(f"of_all_{v}") for v in values]).withColumn("one", F.lit(1))
-    near = near.withColumn("one", F.lit(1)).join(F.broadcast(overall), "one", "left")
+    overall = rows.agg(*[F.percentile_approx(v, 0.5, MEDIAN_ACCURACY).alias(v) for v in values]).first()
+    near = near.withColumns({f"of_all_{v}": F.lit(overall[v]).cast("double") for v in values})
     done = []
     for v, name in zip(values, names, strict=True):
         p, n = F.col(f"p_{v}"), F.col(f"n_{v}")
