@@ -138,7 +138,7 @@ def bin_measures(high: float = 0.99, medium: float = 0.5, common_af: float = 0.1
         "n_trans_singletons": total("t", single), "n_untrans_singletons": total("u", single),
         "n_trans_singletons_synonymous": total("t", single & syn), "n_untrans_singletons_synonymous": total("u", single & syn),
         "n_train_trans_singletons": n((c("unrelated_ac") == 1) & (c("t") == 1)),
-        "n_trans_common": total("t", c("gnomad_af") >= common_af), "n_untrans_common": total("u", c("gnomad_af") >= common_af),
+        "n_trans_common": total("t", c("population_af") >= common_af), "n_untrans_common": total("u", c("population_af") >= common_af),
         "n_trans_singletons_synonymous_tdt": n(syn & (c("t") == 1) & (c("u") == 0)), "n_untrans_singletons_synonymous_tdt": n(syn & (c("t") == 0) & (c("u") == 1)),
         "n_omni": n(c("omni")), "n_mills": n(c("mills")), "n_hapmap": n(c("hapmap")), "n_kgp_high_conf_snvs": n(c("kgp_phase1_hc")),
         "fail_hard_filters": n(c("fail_hard_filters")), "fail_hard_filters_snvs": n(c("fail_hard_filters") & G.is_snp()), "fail_hard_filters_indels": n(c("fail_hard_filters") & G.is_indel()),
@@ -148,7 +148,7 @@ def bin_measures(high: float = 0.99, medium: float = 0.5, common_af: float = 0.1
 def bin_aggregate(bins: DataFrame, **limits: float) -> DataFrame:
     """All measures per the ten keys. A measure whose column is not there (no pedigree, no truth set) is 0."""
     needed = {
-        "t": "long", "u": "long", "mendel_errors": "long", "unrelated_ac": "long", "p_de_novo": "double", "confidence": "string", "gnomad_af": "double", "ac_raw": "long",
+        "t": "long", "u": "long", "mendel_errors": "long", "unrelated_ac": "long", "p_de_novo": "double", "confidence": "string", "population_af": "double", "ac_raw": "long",
         "variant_transmitted_singletons": "long", "variant_untransmitted_singletons": "long", "omni": "boolean", "mills": "boolean", "hapmap": "boolean", "kgp_phase1_hc": "boolean",
         "fail_hard_filters": "boolean", "biallelic_rank": "long", "singleton_rank": "long", "de_novo_high_quality_rank": "long", "de_novo_medium_quality_rank": "long", "de_novo_synonymous_rank": "long",
     }
