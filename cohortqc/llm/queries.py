@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortqc.llm import components, cutoffs, mixing, packing, percentiles, spans, topn
 from cohortqc.session import read_table
@@ -27,6 +28,12 @@ def p3_merged_days(spark: SparkSession, sf: str) -> DataFrame:
     return percentiles.percentiles_of(days.where("day between date'2024-01-01' and date'2024-03-31'")).withColumnRenamed("grp", "s")
 
 
+def p3_day_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The mergeable summaries of single days."""
+    d = percentiles.day_counts(read_table(spark, sf, "entries"))
+    return d.select("grp", "day", F.element_at(F.array(*[F.lit(m.column) for m in percentiles.ENTRY_MEASURES]), F.col("measure") + 1).alias("measure"), "code", "n")
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return cutoffs.keep_share(read_table(spark, sf, "rf_ht"), read_table(spark, sf, "rank_targets"))[1].select("rank_id", "vid")
 
@@ -72,7 +79,7 @@ def p10_shared_chars(spark: SparkSession, sf: str) -> DataFrame:
     return spans.SharedSpans(read_table(spark, sf, "documents")).shared_chars()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_days, p4_found, p4_cutoffs, p5_found, p5_new_best_match, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_shared_chars)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_days, p3_day_counts, p4_found, p4_cutoffs, p5_found, p5_new_best_match, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_shared_chars)}
 
 _P2_SQL = """
 WITH RECURSIVE links AS (
@@ -125,6 +132,10 @@ SQL = {
     "p3_percentiles": _p3_sql(""),
     "p3_span": _p3_sql(_QUARTER),
     "p3_merged_days": _p3_sql(_QUARTER),
+    "p3_day_counts": " UNION ALL ".join(
+        f"SELECT upper(trim(s, ' ')) AS grp, load_day AS day, '{m}' AS measure, CAST({code} AS BIGINT) AS code, count(*) AS n FROM entries WHERE s IS NOT NULL AND {m} IS NOT NULL{more} GROUP BY 1, 2, 4"
+        for m, code, more in (("dp", "dp", ""), ("gq", "gq", ""), ("hetab", "floor(hetab / 1e-6::DOUBLE + 0.5::DOUBLE)", " AND NOT isnan(hetab) AND NOT isinf(hetab)"))
+    ),
     "p4_found": _P4_BASE + "SELECT rank_id, vid FROM kept",
     "p4_cutoffs": _P4_BASE
     + """SELECT t.rank_id, t.var_class, t.keep_percent, coalesce(c.n, 0) AS n, c.cutoff, coalesce(k.kept, 0) AS kept, k.max_bin
