@@ -91,3 +91,21 @@ def collect_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def row_index(df: DataFrame, order: Sequence, name: str = "idx") -> DataFrame:
     """0-based position in a total order of the rows of a small table (one row per sample)."""
     return df.withColumn(name, F.row_number().over(W.orderBy(*order)) - 1)
+
+
+def differences(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str], tolerance: float = 1e-9) -> DataFrame:
+    """(keys, column, left, right) of cells that two tables do not share; numbers agree within a relative tolerance, NaN
+    agrees with NaN and null with null. A row that only one table has differs in every column that it fills."""
+    kinds = dict(left.dtypes)
+    both = left.select(*keys, *[F.col(c).alias(f"_l_{c}") for c in columns]).join(right.select(*keys, *[F.col(c).alias(f"_r_{c}") for c in columns]), list(keys), "full")
+
+    def differ(c: str):
+        a, b = F.col(f"_l_{c}"), F.col(f"_r_{c}")
+        if kinds[c] in ("double", "float"):
+            near = (F.isnan(a) & F.isnan(b)) | (F.abs(a - b) <= tolerance * F.greatest(F.lit(1.0), F.abs(a), F.abs(b)))
+            return ~F.coalesce(near, a.isNull() & b.isNull())
+        return ~a.eqNullSafe(b)
+
+    text = lambda c: F.col(c).cast("string")
+    cells = [F.when(differ(c), F.struct(F.lit(c).alias("column"), text(f"_l_{c}").alias("left"), text(f"_r_{c}").alias("right"))) for c in columns]
+    return both.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("x")).select(*keys, "x.*")

@@ -43,6 +43,30 @@ def write_ids(df: DataFrame, path: str) -> None:
     df.select(F.col(df.columns[0]).cast("string").alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_values(values: Sequence[float], path: str) -> None:
+    """One value per line, such as eigenvalues."""
+    Path(path_local(path)).write_text("".join(f"{v}\n" for v in values))
+
+
+#: Columns of a table of grid metrics and what they are called in the file.
+_METRICS = {
+    "point": "filter", "bin": "bin", "DP": "DP", "GQ": "GQ", "AB": "AB", "call_rate": "call_rate", "TP_percent": "TP", "FP_percent": "FP", "mendelian_error_mean": "mendelian_error_mean",
+    "mendelian_error_std": "mendelian_error_std", "prec": "precision", "recall": "recall",
+}
+_MORE = {"snv": {"t_u_ratio": "t_u_ratio"}, "indel": {f"{m}_{k}": f"{n}_{k}" for k in ("frameshift", "inframe") for m, n in (("prec", "precision"), ("recall", "recall"))}}
+
+
+def filter_metrics_table(metrics: DataFrame, kind: str) -> DataFrame:
+    """The metrics of a grid in the order of its file; which columns follow depends on the kind of variants. A metric that
+    was not computed is left empty."""
+    names = _METRICS | _MORE[kind]
+    return metrics.select(*[(F.col(c) if c in metrics.columns else F.lit(None).cast("double")).alias(n) for c, n in names.items()])
+
+
+def write_filter_metrics(metrics: DataFrame, path: str, kind: str) -> None:
+    write_tsv(filter_metrics_table(metrics, kind), path, compression="none")
+
+
 def write_globals(values: dict, path: str) -> None:
     Path(path_local(path)).parent.mkdir(parents=True, exist_ok=True)
     Path(path_local(path)).write_text(json.dumps(values, indent=2, sort_keys=True))

@@ -280,3 +280,11 @@ def test_median_impute(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", None), ("a", float("nan")), ("b", None), (None, 5.0), (None, None)], "k string, x double")
     got = rows(model.median_impute(df, "k", ["x"]), "k", "x", "x_imputed")
     assert got.count(("a", 2.0, True)) == 2 and ("b", None, True) in got and (None, 5.0, True) in got
+
+
+def test_differences(spark):
+    nan = float("nan")
+    a = spark.createDataFrame([(1, 1.0, "x"), (2, nan, None), (3, 5.0, "z"), (4, None, "q")], "k int, v double, t string")
+    b = spark.createDataFrame([(1, 1.0 + 1e-12, "x"), (2, nan, None), (3, 6.0, "y"), (5, None, "q")], "k int, v double, t string")
+    assert rows(joins.differences(a, b, ["k"], ["v", "t"])) == [(3, "t", "z", "y"), (3, "v", "5.0", "6.0"), (4, "t", "q", None), (5, "t", None, "q")]
+    assert joins.differences(a, a, ["k"], ["v", "t"]).count() == 0

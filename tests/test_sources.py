@@ -104,6 +104,13 @@ def test_sinks(spark, tmp_path):
     assert sinks.read_json(runs) == {}
     sinks.add_run(runs, "m1", {"x": 1})
     assert sinks.add_run(runs, "m2", {"x": 2}) == {"m1": {"x": 1}, "m2": {"x": 2}}
+    sinks.write_values([1.5, 0.5], str(tmp_path / "e.txt"))
+    assert (tmp_path / "e.txt").read_text() == "1.5\n0.5\n"
+    m = spark.createDataFrame([("p", 1, 50.0, 0.5)], "point string, bin int, TP_percent double, t_u_ratio double").withColumns({c: F.lit(1.0) for c in ("DP", "GQ", "AB", "call_rate", "FP_percent", "prec", "recall", "mendelian_error_mean", "mendelian_error_std")})
+    sinks.write_filter_metrics(m, str(tmp_path / "m"), "snv")
+    back = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "m"))
+    assert back.columns[:2] == ["filter", "bin"] and back.columns[-1] == "t_u_ratio" and back.first()["TP"] == "50.0"
+    assert sinks.filter_metrics_table(m, "indel").columns[-1] == "recall_inframe"
     keep = tmp_path / "tmp"
     keep.mkdir()
     sinks.clear_folder(str(keep))
