@@ -19,6 +19,9 @@ from cohortqc.session import bounded_rows, materialize, release
 
 #: Dense matrices of samples by samples are made up to this size.
 MAX_SAMPLES = 4096
+#: Blocks to a window of linkage pruning, and pairs of variants that a task of it holds at once.
+LD_BLOCKS = 4
+LD_CELLS = 1_000_000
 
 
 def impute_sex(entries: DataFrame, variants: DataFrame, aaf: float = 0.05, female_below: float = 0.4, male_above: float = 0.8) -> DataFrame:
@@ -72,19 +75,49 @@ def unrelated_samples(relatedness: DataFrame, min_kin: float = 0.125) -> DataFra
 def ld_pairs(entries: DataFrame, variants: DataFrame, window_bp: int = 1_000_000, r2: float = 0.2) -> DataFrame:
     """(a, b, r2): pairs of variants of one contig within ``window_bp`` whose squared correlation exceeds ``r2``.
 
-    Pairs are formed by tile of the window's width and by sample, so only neighbouring variants meet; the correlation
-    comes from sums over the samples that have both calls.
+    Variants are cut into blocks of a LD_BLOCKS-th of the window; every two blocks that the window can span meet in one
+    task, which takes the sums over the samples that have both calls as matrix products. Only the correlated pairs
+    leave it, so what is shuffled grows with the calls, not with the pairs. A sample has at most one call per variant.
     """
-    v = variants.select("vid", "contig", "pos")
-    g = entries.where("gt is not null").select("vid", "sid", "gt").join(v, "vid").withColumn("tile", F.floor(F.col("pos") / window_bp))
-    left = g.select("contig", "sid", "tile", F.col("vid").alias("a"), F.col("pos").alias("pa"), F.col("gt").alias("x"))
-    right = g.select("contig", "sid", F.explode(F.array(F.col("tile"), F.col("tile") - 1)).alias("tile"), F.col("vid").alias("b"), F.col("pos").alias("pb"), F.col("gt").alias("y"))
-    ordered = (F.col("pa") < F.col("pb")) | ((F.col("pa") == F.col("pb")) & (F.col("a") < F.col("b")))
-    pair = left.join(right, ["contig", "sid", "tile"]).where(ordered & (F.col("pb") - F.col("pa") <= window_bp))
-    s = pair.groupBy("a", "b").agg(F.count("*").alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"), F.sum(F.col("x") * F.col("y")).alias("sxy"), F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"))
-    cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
-    var = (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")).cast("double") * (F.col("n") * F.col("syy") - F.col("sy") * F.col("sy"))
-    return s.select("a", "b", F.try_divide((cov * cov).cast("double"), var).alias("r2")).where(F.col("r2") > r2)
+    width = max(1, -(-window_bp // LD_BLOCKS))
+    reach = -(-window_bp // width)
+    v = variants.where("contig is not null and pos is not null").select("vid", "contig", F.col("pos").cast("long").alias("pos"))
+    calls = entries.where("gt is not null").select("vid", "sid", F.col("gt").cast("byte").alias("gt")).join(v, "vid").groupBy("vid", "contig", "pos").agg(F.collect_list(F.struct("sid", "gt")).alias("calls"))
+    block = F.floor(F.col("pos") / width).cast("long")
+    # as the first of the blocks block .. block + reach, and as the second of block - reach .. block - 1
+    meets = F.transform(F.sequence(F.lit(-reach), F.lit(reach)), lambda d: F.struct((block + F.least(d, F.lit(0))).alias("one"), (block + F.greatest(d, F.lit(0))).alias("two"), (d < 0).alias("second")))
+    sides = calls.withColumn("m", F.explode(meets)).select("vid", "contig", "pos", "calls", F.col("m.one").alias("one"), F.col("m.two").alias("two"), F.col("m.second").alias("second"))
+    kind = entries.schema["vid"].dataType
+
+    def correlated(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("pos", "ascending"), ("vid", "ascending")]).combine_chunks()
+        vid, pos, second = table["vid"].combine_chunks(), table["pos"].to_numpy(), table["second"].to_numpy()
+        lists = table["calls"].combine_chunks()
+        flat = lists.flatten()
+        sid = flat.field("sid").dictionary_encode()
+        row, col = np.repeat(np.arange(len(vid)), np.diff(lists.offsets.to_numpy())), sid.indices.to_numpy()
+        g, called = np.zeros((len(vid), len(sid.dictionary))), np.zeros((len(vid), len(sid.dictionary)))
+        g[row, col], called[row, col] = flat.field("gt").to_numpy(zero_copy_only=False), 1
+        same = table["one"][0].as_py() == table["two"][0].as_py()
+        left, right = (np.arange(len(vid)),) * 2 if same else (np.flatnonzero(~second), np.flatnonzero(second))
+        y, cy = g[right].T, called[right].T
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+        step = max(1, LD_CELLS // max(1, len(right)))
+        for at in range(0, len(left) if len(right) else 0, step):
+            own = left[at : at + step]
+            x, cx = g[own], called[own]
+            n, sx, sy = cx @ cy, x @ cy, cx @ y
+            cov = n * (x @ y) - sx * sy
+            var = (n * ((x * x) @ cy) - sx * sx) * (n * (cx @ (y * y)) - sy * sy)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                r = np.where(var != 0, cov * cov / var, np.nan)
+            near = pos[right][None, :] - pos[own][:, None] <= window_bp
+            i, j = np.nonzero((r > r2) & near & (own[:, None] < right[None, :]))
+            found.append((own[i], right[j], r[i, j]))
+        i, j, r = map(np.concatenate, zip(*found, strict=True))
+        return pa.table({"a": vid.take(pa.array(i)), "b": vid.take(pa.array(j)), "r2": pa.array(r)})
+
+    return sides.groupBy("contig", "one", "two").applyInArrow(correlated, f"a {kind.simpleString()}, b {kind.simpleString()}, r2 double")
 
 
 def ld_prune(entries: DataFrame, variants: DataFrame, window_bp: int = 1_000_000, r2: float = 0.2) -> DataFrame:

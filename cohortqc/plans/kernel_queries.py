@@ -33,7 +33,7 @@ def impute_sex_f(spark, sf):
 @query
 def ld_prune(spark, sf):
     c = load(spark, sf)
-    return structure.ld_prune(c.entries, filters.autosomal_snvs(c.variants), 5_000, 0.2).select("vid", "contig", "pos")
+    return structure.ld_prune(c.entries, filters.autosomal_snvs(c.variants)).select("vid", "contig", "pos")
 
 
 @query
