@@ -65,14 +65,14 @@ def population_rf(spark, sf):
     c = load(spark, sf)
     scores = structure.pca(c.entries, 4)[0]
     known = c.samples.select("sid", F.when(F.col("sid") % 5 != 0, F.col("pop")).alias("known_pop"))
-    return model.assign_populations(scores.withColumn("sid", F.col("sid").cast("int")).join(known, "sid"), trees=20)
+    return model.assign_populations(scores.withColumn("sid", F.col("sid").cast("int")).join(known, "sid"))
 
 
 @query
 def rf_scores(spark, sf):
     c = load(spark, sf)
     v = model.training_rows(c.variants.withColumn("kind", G.allele_class()))
-    fitted = model.train(v, _FEATURES, ["kind"], trees=20)
+    fitted = model.train(v, _FEATURES, ["kind"])
     return model.apply(fitted, v, _FEATURES, ["kind"]).select("vid", "rf_label", "rf_train", "rf_prediction", "score")
 
 

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from cohortqc.operators import filters, structure
+from cohortqc.operators import filters, model, structure
 from cohortqc.plans import kernel_queries, testcohort
 from tests.util import DATA, rows
 
@@ -31,3 +31,11 @@ def test_ld_prune_query_looks_at_the_whole_window(spark):
     kept = kernel_queries.ld_prune(spark, DATA)
     assert structure.ld_pairs(c.entries, kept, 1_000_000, 0.2).count() == 0
     assert rows(kept, "vid") == rows(structure.ld_prune(c.entries, filters.autosomal_snvs(c.variants)), "vid")
+
+
+def test_forest_queries_have_the_default_sizes(spark, monkeypatch):
+    sizes, made = [], model.RandomForestClassifier
+    monkeypatch.setattr(model, "RandomForestClassifier", lambda **k: sizes.append(k["numTrees"]) or made(**k))
+    kernel_queries.rf_scores(spark, DATA)
+    kernel_queries.population_rf(spark, DATA)
+    assert sizes == [500, 100]
