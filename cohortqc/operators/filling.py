@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from cohortqc.functions.ids import is_number
-from cohortqc.session import materialize
+from cohortqc.session import bounded_rows, materialize, release
 
 VARIANT_TYPES = ("snv", "indel", "multi-snv", "multi-indel", "mixed")
 #: Neighbours further away than this many days are not used.
 GAP_DAYS = 30.0
-#: percentile_approx keeps this many points: the fallback median's rank is off by at most n / MEDIAN_ACCURACY.
-MEDIAN_ACCURACY = 10_000
+#: Cells that a field's range is cut into to find its medians; only values of the medians' cells are ordered.
+MEDIAN_CELLS = 4096
 #: Tables with one row per entity are broadcast up to this size.
 BROADCAST_ROWS = 500_000
 
@@ -91,6 +91,32 @@ def _small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
+def _medians(rows: DataFrame, values: Sequence[str], numerics: Sequence[Numeric]) -> dict[tuple[str | None, str], float]:
+    """The exact median, of rank ceil(n / 2), of each (kind, value), and of (None, value) for all kinds together.
+
+    Rows become counts per value; cells of the range find the one that holds the rank, and only its values are ordered.
+    """
+    cell = lambda v, n: F.coalesce(F.floor(F.try_divide(F.col(v) - n.low, F.lit(float(n.high - n.low))) * MEDIAN_CELLS), F.lit(0)).cast("int")
+    each = F.array(*[F.struct(F.lit(v).alias("field"), F.col(v).alias("value"), cell(v, n).alias("cell")) for v, n in zip(values, numerics, strict=True)])
+    counts = rows.select("kind", F.explode(each).alias("x")).select("kind", "x.*").where("value is not null").groupBy("kind", "field", "cell", "value").agg(F.count("*").alias("n"))
+    counts = materialize(counts)
+    whole = counts.groupBy("field", "cell", "value").agg(F.sum("n").alias("n")).select(F.lit("").alias("kind"), "field", "cell", "value", "n", F.lit(True).alias("whole"))
+    counts_of = counts.withColumn("whole", F.lit(False)).unionByName(whole)
+    keys = ["whole", "kind", "field"]
+
+    def holding(table: DataFrame, order: str, rank: Column) -> DataFrame:
+        """The row within which the rank falls; before: the count of the earlier rows of its group."""
+        counted = table.withColumn("before", F.sum("n").over(W.partitionBy(*keys).orderBy(order)) - F.col("n")).withColumn("rank", rank)
+        return counted.where("before < rank and rank <= before + n")
+
+    cells = counts_of.groupBy(*keys, "cell").agg(F.sum("n").alias("n"))
+    hit = holding(cells, "cell", F.ceil(F.sum("n").over(W.partitionBy(*keys)) / 2)).select(*keys, "cell", (F.col("rank") - F.col("before")).alias("left"))
+    found = holding(counts_of.join(F.broadcast(hit), [*keys, "cell"]), "value", F.col("left"))  # hit: a row per kind and value
+    medians = {(None if r["whole"] else r["kind"], r["field"]): r["value"] for r in bounded_rows(found.select(*keys, "value"), 10_000, "medians")}
+    release(counts)
+    return medians
+
+
 def _days(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))) / F.lit(86_400_000_000.0)
 
@@ -118,7 +144,7 @@ def fill_gaps(
     site, the smaller on a tie), ``carried`` / ``carried_back`` (nearest neighbour of the call set within
     ``gap_days``), ``entity`` and ``overall`` (most frequent value); numerics ``interpolated`` (between both
     neighbours of the same call set and, after filling, variant type), ``carried`` / ``carried_back`` (only one
-    neighbour within the limit), ``type`` and ``overall`` (approximate median); ``none`` where nothing is known.
+    neighbour within the limit), ``type`` and ``overall`` (exact median, the lower one of an even number); ``none`` where nothing is known.
 
     Defined results: time is called_at, or loaded_at if that is null; rows without time take the fallbacks; rows
     of the same time are ordered by row_id; rows with a null entity form an entity of their own; repeated rows
@@ -172,10 +198,11 @@ def fill_gaps(
     values = [f"num{k}" for k in range(len(names))]
     near = _neighbours(rows, ["entity", "kind"], values)
     # at most a row per kind (a closed list), and one
-    medians = [F.percentile_approx(v, 0.5, MEDIAN_ACCURACY).alias(f"of_kind_{v}") for v in values]
-    near = near.join(F.broadcast(rows.groupBy("kind").agg(*medians)), "kind", "left")
-    overall = rows.agg(*[F.percentile_approx(v, 0.5, MEDIAN_ACCURACY).alias(v) for v in values]).first()
-    near = near.withColumns({f"of_all_{v}": F.lit(overall[v]).cast("double") for v in values})
+    medians = _medians(rows, values, numerics)
+    kinds = sorted({kind for kind, _ in medians if kind is not None})
+    of_kind = df.sparkSession.createDataFrame([(kind, *[medians.get((kind, v)) for v in values]) for kind in kinds], ", ".join(["kind string", *[f"of_kind_{v} double" for v in values]]))
+    near = near.join(F.broadcast(of_kind), "kind", "left")
+    near = near.withColumns({f"of_all_{v}": F.lit(medians.get((None, v))).cast("double") for v in values})
     done = []
     for v, name in zip(values, names, strict=True):
         p, n = F.col(f"p_{v}"), F.col(f"n_{v}")

@@ -1,8 +1,9 @@
 """Queries that look at all of their rows, with the settings of the reference."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from cohortqc.operators import filters, model, structure
+from cohortqc.operators import filling, filters, model, structure
 from cohortqc.plans import kernel_queries, testcohort
 from tests.util import DATA, rows
 
@@ -39,3 +40,19 @@ def test_forest_queries_have_the_default_sizes(spark, monkeypatch):
     kernel_queries.rf_scores(spark, DATA)
     kernel_queries.population_rf(spark, DATA)
     assert sizes == [500, 100]
+
+
+def test_fallback_medians_are_exact_over_many_values(spark):
+    n = 300_000
+    order = (F.col("id") * 7_919) % n  # every whole number below n once
+    known = spark.range(n).select("id", (order * 100.0 / n).alias("mq"), (order * 2.0 / n - 1).alias("inbreedingcoeff"), F.when(F.col("id") % 3 == 0, "snv").otherwise("indel").alias("variant_type"))
+    gaps = spark.createDataFrame([(n, None, None, "snv"), (n + 1, None, None, "indel"), (n + 2, None, None, "mixed")], "id long, mq double, inbreedingcoeff double, variant_type string")
+    # every row is a call set of its own, so there are no neighbours
+    t = known.unionByName(gaps).select(F.col("id").alias("row_id"), F.lit("chr1").alias("contig"), F.col("id").cast("int").alias("pos"), "mq", "inbreedingcoeff", "variant_type", F.col("id").cast("string").alias("callset_id"), F.lit("2024-01-01").cast("timestamp_ntz").alias("called_at"), F.lit(None).cast("timestamp_ntz").alias("loaded_at"))
+    got = {r["row_id"]: r for r in filling.fill_gaps(t).where(f"row_id >= {n}").collect()}
+    ids = np.arange(n)
+    values = ids * 7_919 % n
+    middle = lambda x: int(np.sort(x)[(len(x) + 1) // 2 - 1])
+    for k, x, method in ((n, values[ids % 3 == 0], "type"), (n + 1, values[ids % 3 != 0], "type"), (n + 2, values, "overall")):
+        assert (got[k]["mq"], got[k]["mq_method"]) == (middle(x) * 100.0 / n, method)
+        assert (got[k]["inbreedingcoeff"], got[k]["inbreedingcoeff_method"]) == (middle(x) * 2.0 / n - 1, method)
