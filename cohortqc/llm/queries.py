@@ -28,6 +28,11 @@ def p3_merged_days(spark: SparkSession, sf: str) -> DataFrame:
     return percentiles.percentiles_of(days.where("day between date'2024-01-01' and date'2024-03-31'")).withColumnRenamed("grp", "s")
 
 
+def p3_merged_all_days(spark: SparkSession, sf: str) -> DataFrame:
+    """The percentiles of p3_percentiles, from the summaries of all single days."""
+    return percentiles.percentiles_of(percentiles.day_counts(read_table(spark, sf, "entries"))).withColumnRenamed("grp", "s")
+
+
 def p3_day_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The mergeable summaries of single days."""
     d = percentiles.day_counts(read_table(spark, sf, "entries"))
@@ -79,7 +84,7 @@ def p10_shared_chars(spark: SparkSession, sf: str) -> DataFrame:
     return spans.SharedSpans(read_table(spark, sf, "documents")).shared_chars()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_days, p3_day_counts, p4_found, p4_cutoffs, p5_found, p5_new_best_match, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_shared_chars)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_days, p3_merged_all_days, p3_day_counts, p4_found, p4_cutoffs, p5_found, p5_new_best_match, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_shared_chars)}
 
 _P2_SQL = """
 WITH RECURSIVE links AS (
@@ -132,6 +137,7 @@ SQL = {
     "p3_percentiles": _p3_sql(""),
     "p3_span": _p3_sql(_QUARTER),
     "p3_merged_days": _p3_sql(_QUARTER),
+    "p3_merged_all_days": _p3_sql(""),
     "p3_day_counts": " UNION ALL ".join(
         f"SELECT upper(trim(s, ' ')) AS grp, load_day AS day, '{m}' AS measure, CAST({code} AS BIGINT) AS code, count(*) AS n FROM entries WHERE s IS NOT NULL AND {m} IS NOT NULL{more} GROUP BY 1, 2, 4"
         for m, code, more in (("dp", "dp", ""), ("gq", "gq", ""), ("hetab", "floor(hetab / 1e-6::DOUBLE + 0.5::DOUBLE)", " AND NOT isnan(hetab) AND NOT isinf(hetab)"))

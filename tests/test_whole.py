@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from cohortqc.llm import queries as llm
 from cohortqc.operators import filling, filters, model, structure
 from cohortqc.plans import kernel_queries, testcohort
 from tests.util import DATA, rows
@@ -56,3 +57,7 @@ def test_fallback_medians_are_exact_over_many_values(spark):
     for k, x, method in ((n, values[ids % 3 == 0], "type"), (n + 1, values[ids % 3 != 0], "type"), (n + 2, values, "overall")):
         assert (got[k]["mq"], got[k]["mq_method"]) == (middle(x) * 100.0 / n, method)
         assert (got[k]["inbreedingcoeff"], got[k]["inbreedingcoeff_method"]) == (middle(x) * 2.0 / n - 1, method)
+
+
+def test_summaries_of_all_days_give_the_whole_percentiles(spark):
+    assert rows(llm.QUERIES["p3_merged_all_days"](spark, DATA), "s", "measure", "percentile", "value", "n") == rows(llm.p3_percentiles(spark, DATA), "s", "measure", "percentile", "value", "n")
