@@ -54,6 +54,13 @@ def freemix_index(spark, sf):
     return joins.row_index(s, [F.asc_nulls_last("freemix"), "s", "arrived_at"]).select("s", "freemix", F.col("idx").cast("long").alias("idx"))
 
 
+@query("SELECT s, freemix, row_number() OVER (ORDER BY CASE WHEN freemix IS NULL THEN 2 WHEN isnan(freemix) THEN 1 ELSE 0 END, freemix, s, arrived_at) - 1 AS idx FROM samples")
+def freemix_index_all(spark, sf):
+    """All samples: numbers, then NaN, then nulls."""
+    order = [F.when(F.col("freemix").isNull(), 2).when(F.isnan("freemix"), 1).otherwise(0), "freemix", "s", "arrived_at"]
+    return joins.row_index(read_table(spark, sf, "samples"), order).select("s", "freemix", F.col("idx").cast("long").alias("idx"))
+
+
 # ---- identity ------------------------------------------------------------------------------------------------------
 _PAIRS = """WITH pairs AS (SELECT data_sample, microarray_sample, line_no, CASE WHEN n_sites = 0 THEN 1000.0 ELSE discordance / n_sites END AS score FROM (
   SELECT * FROM gtcheck_results WHERE data_sample IS NOT NULL AND microarray_sample IS NOT NULL AND n_sites IS NOT NULL AND discordance IS NOT NULL AND NOT isnan(discordance) AND NOT isinf(discordance)

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from cohortqc.llm import queries as llm
 from cohortqc.operators import filling, filters, model, structure
-from cohortqc.plans import kernel_queries, testcohort
+from cohortqc.plans import domain_queries, kernel_queries, testcohort
+from cohortqc.session import read_table
 from tests.util import DATA, rows
 
 
@@ -61,3 +62,17 @@ def test_fallback_medians_are_exact_over_many_values(spark):
 
 def test_summaries_of_all_days_give_the_whole_percentiles(spark):
     assert rows(llm.QUERIES["p3_merged_all_days"](spark, DATA), "s", "measure", "percentile", "value", "n") == rows(llm.p3_percentiles(spark, DATA), "s", "measure", "percentile", "value", "n")
+
+
+def test_every_sample_has_a_freemix_index(spark):
+    got = domain_queries.QUERIES["freemix_index_all"](spark, DATA).orderBy("idx").collect()
+    assert [r["idx"] for r in got] == list(range(read_table(spark, DATA, "samples").count()))
+    place = [2 if r["freemix"] is None else 1 if np.isnan(r["freemix"]) else 0 for r in got]
+    assert place == sorted(place) and (np.diff([r["freemix"] for r, p in zip(got, place, strict=True) if p == 0]) >= 0).all()
+
+
+def test_nan_freemix_comes_after_numbers_and_before_nulls(spark, tmp_path):
+    data = [("a", None, "2024-01-01"), ("b", float("nan"), "2024-01-02"), ("c", 0.5, "2024-01-03"), ("d", float("inf"), "2024-01-04"), ("e", 0.1, "2024-01-05")]
+    spark.createDataFrame(data, "s string, freemix double, arrived_at string").write.parquet(str(tmp_path / "samples.parquet"))
+    got = domain_queries.QUERIES["freemix_index_all"](spark, str(tmp_path))
+    assert [r["s"] for r in got.orderBy("idx").collect()] == ["e", "c", "d", "b", "a"]
