@@ -209,6 +209,14 @@ def union_cols_common(spark, c):
     return joins.union_cols(one, two).select("vid", "sid", "gt")
 
 
+@query(f"{WITH}, asia AS (SELECT sid FROM smp WHERE pop = 'ASIA'), k AS (SELECT vid FROM ents WHERE sid IN (SELECT sid FROM asia) INTERSECT SELECT vid FROM ents WHERE sid NOT IN (SELECT sid FROM asia)) SELECT vid, sid, gt FROM ents WHERE vid IN (SELECT vid FROM k)")
+def union_cols_populations(spark, c):
+    """Two cohorts by population, all entries of each; the smaller lacks variants of the other because calls are missing."""
+    asia = c.samples.where("pop = 'ASIA'").select("sid")
+    one, two = c.entries.join(asia, "sid", "left_semi"), c.entries.join(asia, "sid", "left_anti")
+    return joins.union_cols(one, two).select("vid", "sid", "gt")
+
+
 @query(f"{WITH} SELECT contig, pos, count(*) AS n, string_agg(ref || '>' || alt, ',' ORDER BY ref, alt) AS alleles FROM vars GROUP BY contig, pos")
 def collect_by_key(spark, c):
     k = joins.collect_by_key(c.variants.select("contig", "pos", "ref", "alt"), ["contig", "pos"])

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortqc.llm import queries as llm
 from cohortqc.operators import filling, filters, model, structure
-from cohortqc.plans import domain_queries, kernel_queries, testcohort
+from cohortqc.plans import cohort_queries, domain_queries, kernel_queries, testcohort
 from cohortqc.session import read_table
 from tests.util import DATA, rows
 
@@ -76,3 +76,13 @@ def test_nan_freemix_comes_after_numbers_and_before_nulls(spark, tmp_path):
     spark.createDataFrame(data, "s string, freemix double, arrived_at string").write.parquet(str(tmp_path / "samples.parquet"))
     got = domain_queries.QUERIES["freemix_index_all"](spark, str(tmp_path))
     assert [r["s"] for r in got.orderBy("idx").collect()] == ["e", "c", "d", "b", "a"]
+
+
+def test_union_of_populations_has_all_entries_of_common_variants(spark):
+    c = testcohort.load(spark, DATA)
+    pop = {r["sid"]: r["pop"] for r in c.samples.collect()}
+    cells = c.entries.select("vid", "sid", "gt").collect()
+    sides = [{r["vid"] for r in cells if (pop[r["sid"]] == "ASIA") == asia} for asia in (True, False)]
+    want = sorted(((r["vid"], r["sid"], r["gt"]) for r in cells if r["vid"] in sides[0] & sides[1]), key=repr)
+    assert rows(cohort_queries.QUERIES["union_cols_populations"](spark, DATA), "vid", "sid", "gt") == want
+    assert any(vid % 6 for vid, _, _ in want)
