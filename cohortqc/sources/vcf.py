@@ -88,10 +88,12 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_header(spark: SparkSession, path: str) -> Header:
-    """The header lines of one file; they come first, so reading ends at the first record."""
+    """The header lines of one file, however many; they come first, so reading ends at #CHROM, the last of them."""
     head = []
-    for row in _lines(spark, [path]).where("value like '#%'").limit(100_000).toLocalIterator():
+    for row in _lines(spark, [path]).where("value like '#%'").toLocalIterator():
         head.append(row[0])
+        if row[0].startswith("#CHROM"):
+            break
     return parse_header(head)
 
 

@@ -7,6 +7,7 @@ from cohortqc.llm import queries as llm
 from cohortqc.operators import filling, filters, model, structure
 from cohortqc.plans import cohort_queries, domain_queries, kernel_queries, testcohort
 from cohortqc.session import read_table
+from cohortqc.sources import vcf
 from tests.util import DATA, rows
 
 
@@ -86,3 +87,9 @@ def test_union_of_populations_has_all_entries_of_common_variants(spark):
     want = sorted(((r["vid"], r["sid"], r["gt"]) for r in cells if r["vid"] in sides[0] & sides[1]), key=repr)
     assert rows(cohort_queries.QUERIES["union_cols_populations"](spark, DATA), "vid", "sid", "gt") == want
     assert any(vid % 6 for vid, _, _ in want)
+
+
+def test_a_header_of_many_lines_is_read_whole(spark, tmp_path):
+    head = ["##fileformat=VCFv4.2", *[f"##contig=<ID=c{k}>" for k in range(100_001)], "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", "s1", "s2"])]
+    (tmp_path / "a.vcf").write_text("\n".join([*head, "\t".join(["c1", "5", ".", "A", "C", ".", ".", ".", "GT", "0/1", "1/1"])]) + "\n")
+    assert list(vcf.read_header(spark, str(tmp_path / "a.vcf")).samples) == ["s1", "s2"]
