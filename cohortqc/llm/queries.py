@@ -84,7 +84,18 @@ def p10_shared_chars(spark: SparkSession, sf: str) -> DataFrame:
     return spans.SharedSpans(read_table(spark, sf, "documents")).shared_chars()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_days, p3_merged_all_days, p3_day_counts, p4_found, p4_cutoffs, p5_found, p5_new_best_match, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_shared_chars)}
+def p10_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Membership instead of pairs: each document that shares a run with its class."""
+    return spans.SharedSpans(read_table(spark, sf, "documents")).classes()
+
+
+def p10_without_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """What the removal of the shared spans leaves of each text."""
+    rest = spans.SharedSpans(read_table(spark, sf, "documents")).without_spans()
+    return rest.select("doc_id", F.char_length("text").cast("long").alias("kept_chars"), F.md5("text").alias("kept_md5"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_days, p3_merged_all_days, p3_day_counts, p4_found, p4_cutoffs, p5_found, p5_new_best_match, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_shared_chars, p10_classes, p10_without_spans)}
 
 _P2_SQL = """
 WITH RECURSIVE links AS (
@@ -131,6 +142,15 @@ first AS (SELECT * FROM lines QUALIFY row_number() OVER (PARTITION BY data_sampl
 placed AS (SELECT *, row_number() OVER (PARTITION BY data_sample ORDER BY score, line_no) AS place FROM first WHERE score IS NOT NULL AND NOT isnan(score) AND NOT isinf(score))
 """
 
+_P10_BASE = """
+WITH RECURSIVE docs AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE doc_id IS NOT NULL AND length(text) >= 200),
+grams AS (SELECT doc_id, i, substring(text, i, 200) AS g FROM (SELECT doc_id, text, unnest(range(1, n - 198)) AS i FROM docs)),
+common AS (SELECT g FROM grams GROUP BY g HAVING min(doc_id) < max(doc_id)),
+shared AS (SELECT doc_id, i, g FROM grams SEMI JOIN common USING (g)),
+holders AS (SELECT DISTINCT g, doc_id FROM shared),
+pairs AS (SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM holders a JOIN holders b ON a.g = b.g AND a.doc_id < b.doc_id),
+spans AS (SELECT doc_id, i, least(200, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 200)) AS own FROM shared)
+"""
 _QUARTER = " AND load_day BETWEEN DATE '2024-01-01' AND DATE '2024-03-31'"
 SQL = {
     "p2_found": _P2_SQL,
@@ -149,4 +169,20 @@ FROM rank_targets t LEFT JOIN cut c ON c.rank_id = t.rank_id AND c.var_class = t
 LEFT JOIN (SELECT rank_id, var_class, count(*) AS kept, max(bin) AS max_bin FROM kept GROUP BY ALL) k ON k.rank_id = t.rank_id AND k.var_class = t.var_class""",
     "p5_found": _P5_SQL + "SELECT data_sample, microarray_sample, CAST(place AS INTEGER) AS place FROM placed WHERE place <= 3",
     "p5_new_best_match": _P5_SQL + "SELECT data_sample, microarray_sample AS best_match_microarray_sample, score FROM placed WHERE place = 1",
+    "p10_found": _P10_BASE + "SELECT doc_a, doc_b FROM pairs",
+    "p10_shared_chars": _P10_BASE
+    + """SELECT d.doc_id, coalesce(length(d.text), 0) AS n_chars, coalesce(s.part, 0) AS shared_chars, coalesce(round(100.0 * coalesce(s.part, 0)::DOUBLE / nullif(length(d.text), 0), 2), 0.0) AS shared_percent
+FROM documents d LEFT JOIN (SELECT doc_id, CAST(sum(own) AS BIGINT) AS part FROM spans GROUP BY doc_id) s ON s.doc_id = d.doc_id""",
+    "p10_classes": _P10_BASE
+    + """, edges AS (SELECT doc_a AS a, doc_b AS b FROM pairs UNION SELECT doc_b, doc_a FROM pairs),
+reach AS (SELECT a AS d, a AS r FROM edges UNION SELECT reach.d, edges.b FROM reach JOIN edges ON edges.a = reach.r),
+class AS (SELECT d AS doc_id, min(r) AS class_id FROM reach GROUP BY d)
+SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size FROM class""",
+    "p10_without_spans": _P10_BASE
+    + """, kept AS (
+  SELECT doc_id, i + own AS a, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM spans
+  UNION ALL SELECT doc_id, 1, min(i) FROM spans GROUP BY doc_id),
+rest AS (SELECT k.doc_id, string_agg(CASE WHEN b IS NULL THEN substring(d.text, a) ELSE substring(d.text, a, b - a) END, '' ORDER BY a) AS t FROM kept k JOIN docs d ON d.doc_id = k.doc_id WHERE b IS NULL OR b > a GROUP BY k.doc_id)
+SELECT d.doc_id, length(CASE WHEN c.doc_id IS NULL THEN d.text ELSE coalesce(r.t, '') END) AS kept_chars, md5(CASE WHEN c.doc_id IS NULL THEN d.text ELSE coalesce(r.t, '') END) AS kept_md5
+FROM documents d LEFT JOIN rest r ON r.doc_id = d.doc_id LEFT JOIN (SELECT DISTINCT doc_id FROM spans) c ON c.doc_id = d.doc_id""",
 }

@@ -43,7 +43,7 @@ def text(rnd, n, letters="abcdefghijklmnopqrstuvwxyz ñ🧬"):
 
 @pytest.mark.parametrize("hot", [48, 1])
 def test_random_passages(spark, monkeypatch, hot):
-    monkeypatch.setattr(S, "HOT_WINDOWS", hot)
+    monkeypatch.setattr(S, "SHARD_WINDOWS", hot)
     rnd = random.Random(11)
     passages = [text(rnd, n) for n in (18, 19, 20, 21, 25, 40, 90)]
     docs = []
@@ -57,7 +57,7 @@ def test_random_passages(spark, monkeypatch, hot):
 
 @pytest.mark.parametrize("hot", [48, 1])
 def test_exact_limits_copies_and_repeats(spark, monkeypatch, hot):
-    monkeypatch.setattr(S, "HOT_WINDOWS", hot)
+    monkeypatch.setattr(S, "SHARD_WINDOWS", hot)
     rnd = random.Random(12)
     p, q = text(rnd, 20), text(rnd, 19)
     whole = text(rnd, 70)
@@ -121,3 +121,23 @@ def test_automaton():
             assert (s >= 0) == (t[max(0, end - 3) : end] in subs and end >= 3)
             if s >= 0:
                 assert states.setdefault(s, t[end - 3 : end]) == t[end - 3 : end]
+
+
+def test_groups_classes_and_removal(spark):
+    rnd = random.Random(16)
+    p, q = text(rnd, 45), text(rnd, 33)
+    docs = [(-5, "one " + p), (2, p + " two " + q), (3, "three " + q), (4, "alone " * 9), (9, "copy" * 9), (7, "copy" * 9), (8, None), (10, "")]
+    found = S.SharedSpans(spark.createDataFrame(docs, "doc_id long, text string"), SPAN)
+    assert rows(found.pairs()) == [(-5, 2), (2, 3), (7, 9)]
+    assert {frozenset(r["doc_id"] for r in found.groups().collect() if r["grp"] == g) for (g,) in rows(found.groups(), "grp")} == {frozenset((-5, 2)), frozenset((2, 3))}
+    assert rows(found.classes()) == sorted([(-5, -5, 3), (2, -5, 3), (3, -5, 3), (7, 7, 2), (9, 7, 2)], key=repr)
+    left = {r["doc_id"]: r["text"] for r in found.without_spans().collect()}
+    assert left == {-5: "one ", 2: " two", 3: "three", 4: "alone " * 9, 9: "", 7: "", 8: None, 10: ""}
+
+
+def test_a_passage_in_many_different_surroundings(spark, monkeypatch):
+    monkeypatch.setattr(S, "PAIR_BLOCK", 7)
+    monkeypatch.setattr(S, "SHARD_WINDOWS", 4)
+    rnd = random.Random(17)
+    p = text(rnd, 26)
+    check(spark, [(k, text(rnd, 25) + p[k % 5 :] + text(rnd, 25)) for k in range(60)])
