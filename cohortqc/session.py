@@ -45,6 +45,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed with the materialised tables."""
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}/{name}"
+    if not _WRITTEN:
+        atexit.register(clear_tables)
+    _WRITTEN.append((spark, path.rsplit("/", 1)[0]))
+    return path
+
+
 def release(*dfs: DataFrame) -> None:
     """Remove materialised tables that no later plan reads."""
     for df in dfs:

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +34,9 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str, compression: str = "gzip", header: bool = True, files: int | None = 1) -> None:
-    """Tab-separated text. ``files``: 1 for reports; None keeps the partitions of large tables."""
+    """Tab-separated text without quoting. ``files``: 1 for reports; None keeps the partitions of large tables."""
     out = flat(df)
-    (out if files is None else out.coalesce(files)).write.mode("overwrite").option("sep", "\t").option("header", header).option("compression", compression).csv(path)
+    (out if files is None else out.coalesce(files)).write.mode("overwrite").option("sep", "\t").option("header", header).option("quote", "").option("compression", compression).csv(path)
 
 
 def write_ids(df: DataFrame, path: str) -> None:
@@ -106,56 +107,81 @@ def missing_points(grid: DataFrame, results: DataFrame | None) -> DataFrame:
 def write_plink(entries: DataFrame, variants: DataFrame, samples: Sequence, path: str, batch: int = 1024) -> None:
     """path.bed, .bim and .fam in genomic order; family, individual and sample id are the same.
 
-    Variants are packed (two bits a call) where they are and arrive at the driver in order, one partition at a time, to
-    be written to one file as the format demands.
+    Variants are packed (two bits a call) where they are; every task writes its range of variants as a segment to a folder
+    beside the files, and the segments are joined in order, as the format demands one file. ``path`` must be a
+    folder that all executors see.
     """
     at = {s: k for k, s in enumerate(samples)}
     width = (len(at) + 3) // 4
-    calls = entries.groupBy("vid").agg(F.collect_list(F.struct("sid", "gt")).alias("calls"))
+    calls = entries.where("gt between 0 and 2").groupBy("vid").agg(F.collect_list(F.struct("sid", "gt")).alias("calls"))
     rows = variants.join(calls, "vid", "left").select("vid", "contig", "contig_idx", "pos", "ref", "alt", "calls")
-    parts = max(1, rows.count() // (batch * 64))
-    ordered = rows.repartitionByRange(parts, "contig_idx", "pos", "ref", "alt").sortWithinPartitions("contig_idx", "pos", "ref", "alt")
-
-    def pack(batches):
-        code = {0: 3, 1: 2, 2: 0}  # the first allele is the alternative one
-        for b in batches:
-            out = []
-            for calls_of in b.column("calls").to_pylist():
-                g = np.full(width * 4, 1, np.uint8)
-                g[len(at) :] = 0
-                for c in calls_of or []:
-                    if c["sid"] in at and c["gt"] is not None:
-                        g[at[c["sid"]]] = code[c["gt"]]
-                q = g.reshape(-1, 4)
-                out.append((q[:, 0] | q[:, 1] << 2 | q[:, 2] << 4 | q[:, 3] << 6).tobytes())
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("contig", "pos", "ref", "alt")], pa.array(out, pa.binary())], ["contig", "pos", "ref", "alt", "bed"])
-
+    parts = max(1, int(variants.count() // (batch * 64)))
+    order = ("contig_idx", "pos", "ref", "alt")
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     local = path_local(path)
     os.makedirs(os.path.dirname(local) or ".", exist_ok=True)
-    kinds = dict(variants.dtypes)
-    packed = ordered.mapInArrow(pack, f"contig string, pos {kinds['pos']}, ref string, alt string, bed binary")
-    with open(f"{local}.bed", "wb") as bed, open(f"{local}.bim", "w") as bim:
-        bed.write(bytes([0x6C, 0x1B, 0x01]))
-        for r in packed.toLocalIterator():
-            bed.write(r["bed"])
-            name = f"{r['contig']}:{r['pos']}:{r['ref']}:{r['alt']}"
-            bim.write(f"{r['contig'].removeprefix('chr')}\t{name}\t0\t{r['pos']}\t{r['alt']}\t{r['ref']}\n")
+    segments = f"{local}.segments"
+    shutil.rmtree(segments, ignore_errors=True)
+    os.makedirs(segments)
+    known = pa.array(list(at), entries_type(entries))
+
+    def pack(batches):
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        code = np.array([3, 2, 0], np.uint8)  # by number of alternative alleles; the first allele is the alternative one
+        name, n = os.path.join(segments, f"{task.partitionId():08d}"), 0
+        own = f"{name}.{task.taskAttemptId()}"
+        with open(f"{own}.bed", "wb") as bed, open(f"{own}.bim", "w") as bim:
+            for b in batches:
+                g = np.full((b.num_rows, width * 4), 1, np.uint8)
+                g[:, len(at) :] = 0
+                lists = b.column("calls")
+                flat = lists.flatten()
+                row = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy())) if not lists.null_count else np.repeat(np.arange(b.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+                place = pc.index_in(flat.field("sid"), value_set=known)
+                keep = place.is_valid().to_numpy(zero_copy_only=False)
+                g[row[keep], place.fill_null(0).to_numpy()[keep]] = code[flat.field("gt").to_numpy(zero_copy_only=False)[keep].astype(int)]
+                q = g.reshape(b.num_rows, width, 4)
+                bed.write((q[:, :, 0] | q[:, :, 1] << 2 | q[:, :, 2] << 4 | q[:, :, 3] << 6).tobytes())
+                for contig, pos, ref, alt in zip(*(b.column(c).to_pylist() for c in ("contig", "pos", "ref", "alt")), strict=True):
+                    bim.write(f"{contig.removeprefix('chr')}\t{contig}:{pos}:{ref}:{alt}\t0\t{pos}\t{alt}\t{ref}\n")
+                n += b.num_rows
+        for end in ("bim", "bed"):  # a repeated attempt replaces the same content
+            os.replace(f"{own}.{end}", f"{name}.{end}")
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    ordered.mapInArrow(pack, "n long").agg(F.sum("n")).collect()
+    for end, magic in (("bed", bytes([0x6C, 0x1B, 0x01])), ("bim", b"")):
+        with open(f"{local}.{end}", "wb") as out:
+            out.write(magic)
+            for name in sorted(f for f in os.listdir(segments) if f.count(".") == 1 and f.endswith(end)):
+                with open(os.path.join(segments, name), "rb") as part:
+                    shutil.copyfileobj(part, out)
+    shutil.rmtree(segments)
     with open(f"{local}.fam", "w") as f:
         f.writelines(f"{s}\t{s}\t0\t0\t0\t-9\n" for s in samples)
 
 
+def entries_type(entries: DataFrame) -> pa.DataType:
+    """The Arrow type of the samples' ids."""
+    return {"int": pa.int32(), "bigint": pa.int64(), "smallint": pa.int16(), "tinyint": pa.int8()}.get(dict(entries.dtypes)["sid"], pa.string())
+
+
 # ---- paths and folders ---------------------------------------------------------------------------------------------------
-def path_spark(path: str) -> str:
-    """A local path as file:// URI; other remote schemes are refused."""
-    if path.startswith("hdfs://"):
-        raise NotImplementedError("hdfs paths are not supported here")
-    return path if path.startswith("file://") else f"file://{path}"
+def resolve(spark: SparkSession, path: str) -> str:
+    """The full URI of a path on whatever file system its scheme, or the session's default, names."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    given = jvm.org.apache.hadoop.fs.Path(path)
+    return str(given.getFileSystem(conf).makeQualified(given).toString())
 
 
 def path_local(path: str) -> str:
-    if path.startswith("hdfs://"):
-        raise NotImplementedError("hdfs paths are not supported here")
-    return path.removeprefix("file://")
+    """The name under which this machine knows a file: URI or plain path; other schemes have none."""
+    scheme, _, rest = path.rpartition(":") if "://" in path or path.startswith("file:") else ("", "", path)
+    if scheme not in ("", "file"):
+        raise ValueError(f"not a local path: {path}")
+    return "/" + rest.lstrip("/") if scheme else rest
 
 
 def clear_folder(path: str) -> None:

@@ -99,7 +99,7 @@ def mapping(spark: SparkSession, path: str, data_column: str = "WES_ID", array_c
 
 def gtcheck(spark: SparkSession, path: str) -> DataFrame:
     """The report's seven columns and line_no, the order of its lines (a report is one file)."""
-    lines = spark.read.option("wholetext", False).text(path).where("value not like '#%'")
+    lines = spark.read.text(path).where("value not like '#%'")
     parsed = lines.select(F.monotonically_increasing_id().alias("line_no"), F.from_csv("value", GTCHECK, {"sep": "\t"}).alias("r"))
     return parsed.select("line_no", "r.*")
 

@@ -1,20 +1,25 @@
 """Reading and writing VCF as long tables.
 
 A scan gives one row per site, with the header's INFO fields as typed columns and the samples' columns still as
-one array; entries are exploded from it only where they are used. The header is small and read on the driver.
-Plain gzip cannot be divided, so a file is one task; block-compressed files that Hadoop knows are read like it.
+one array; entries are exploded from it only where they are used. The header is read on the driver, up to the first record.
+Block-compressed files (whatever their ending; most .gz files of this kind are) are divided at blocks and read by several
+tasks; a plain gzip file cannot be divided and is streamed by one task.
 """
 
 from __future__ import annotations
 
-import gzip
+import math
 import re
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortqc.session import materialize, release
+
 PATTERN = r"vcf\.b?gz$"
 FIXED = ("chrom", "pos", "id", "ref", "alt", "qual", "filter", "info", "format")
 _TYPES = {"Integer": "int", "Float": "double", "String": "string", "Character": "string", "Flag": "boolean"}
@@ -65,22 +70,177 @@ def list_files(spark: SparkSession, folder: str, pattern: str = PATTERN) -> list
     return sorted(str(s.getPath()) for s in status if re.search(pattern, s.getPath().getName()))
 
 
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Lines of plain, gzip and block-gzip files; ``bgz`` is unpacked by a binary scan, as Spark goes by file ending."""
-    odd = [p for p in paths if p.endswith(".bgz")]
-    rest = [p for p in paths if not p.endswith(".bgz")]
-    parts = [spark.read.text(rest).select("value")] if rest else []
-    if odd:
+#: Compressed bytes of a file that one task unpacks.
+SPLIT_BYTES = 32 * 2**20
+_BATCH_BYTES = 8 * 2**20
+
+
+def _open(path: str):
+    """A file of any file system that Arrow knows, for random reads."""
+    from pyarrow import fs
+
+    if re.match(r"file:/(?!/)", path):
+        path = "file://" + path[5:]
+    system, name = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    return system.open_input_file(name)
+
+
+def block_size(head: bytes) -> int:
+    """Bytes of the block that begins with ``head``, 0 if none does: gzip with the extra field BC."""
+    if len(head) < 18 or head[:4] != b"\x1f\x8b\x08\x04":
+        return 0
+    at, end = 12, 12 + int.from_bytes(head[10:12], "little")
+    while at + 6 <= min(end, len(head)):
+        size = int.from_bytes(head[at + 2 : at + 4], "little")
+        if head[at : at + 2] == b"BC" and size == 2:
+            return int.from_bytes(head[at + 4 : at + 6], "little") + 1
+        at += 4 + size
+    return 0
+
+
+_HEAD = 64
+_LARGEST = 65_536
+
+
+def _first_block(file, at: int, size: int) -> int:
+    """Where the first block at or behind ``at`` begins; a block counts only if another one or the end follows it."""
+    file.seek(at)
+    data = file.read(min(2 * _LARGEST + _HEAD, size - at))
+    k = data.find(b"\x1f\x8b\x08\x04")
+    while k >= 0:
+        n = block_size(data[k : k + _HEAD])
+        if n and (at + k + n == size or block_size(data[k + n : k + n + _HEAD])):
+            return at + k
+        k = data.find(b"\x1f\x8b\x08\x04", k + 1)
+    return size
+
+
+def _blocks(file, at: int, size: int) -> Iterator[tuple[int, bytes]]:
+    """(where it begins, content) of the blocks from ``at`` on."""
+    while at < size:
+        file.seek(at)
+        head = file.read(_HEAD)
+        n = block_size(head)
+        if not n:
+            raise ValueError(f"no block at byte {at}")
+        extra = int.from_bytes(head[10:12], "little")
+        data = head[:n] + file.read(max(0, n - len(head)))
+        yield at, zlib.decompress(data[12 + extra : n - 8], -15)
+        at += n
+
+
+def split_lines(path: str, start: int, stop: int) -> Iterator[bytes]:
+    """Lines of a block-compressed file that belong to bytes start..stop: those that begin behind the first line end in the
+    split's first block (the file's first line for start 0), up to the one that holds the next split's first line end."""
+    with _open(path) as file:
+        size = file.size()
+        first = _first_block(file, start, size) if start else 0
+        if first >= stop and start:
+            return
+        behind = _first_block(file, stop, size) if stop < size else size
+        skipping, rest, ended = bool(start), b"", False
+        for at, data in _blocks(file, first, size):
+            if at >= behind:  # the line that is open here, or begins here, is still ours
+                end = data.find(b"\n")
+                rest += data if end < 0 else data[: end + 1]
+                if end < 0:
+                    continue
+                ended = True
+            else:
+                rest += data
+            if skipping:
+                end = rest.find(b"\n")
+                if end < 0:
+                    if ended:
+                        return
+                    rest = b""
+                    continue
+                rest, skipping = rest[end + 1 :], False
+            lines = rest.split(b"\n")
+            rest = lines.pop()
+            yield from lines
+            if ended:
+                return
+        if rest and not skipping:
+            yield rest
+
+
+def _stream_lines(path: str, compressed: bool) -> Iterator[bytes]:
+    """Lines of a plain or a gzip file of one or several members, read on."""
+    unpack = zlib.decompressobj(31) if compressed else None
+    with _open(path) as file:
+        rest = b""
+        while data := file.read(2**20):
+            text = b"" if unpack else data
+            while unpack and data:
+                text += unpack.decompress(data)
+                data = unpack.unused_data
+                if unpack.eof:
+                    unpack = zlib.decompressobj(31)
+            lines = (rest + text).split(b"\n")
+            rest = lines.pop()
+            yield from lines
+        if rest:
+            yield rest
+
+
+def _kind(path: str) -> str:
+    """plain, gzip or blocks, by content."""
+    with _open(path) as file:
+        head = file.read(_HEAD)
+    return "blocks" if block_size(head) else "gzip" if head[:2] == b"\x1f\x8b" else "plain"
+
+
+def _text_of(line: bytes) -> str:
+    return line.rstrip(b"\r").decode("utf-8", "replace")
+
+
+def _files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, int]]:
+    """(path, bytes) of files, and of the files in folders."""
+    jvm, out = spark.sparkContext._jvm, []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        status = system.globStatus(path)
+        if not status:
+            raise FileNotFoundError(p)
+        for s in status:
+            inner = sorted(system.listStatus(s.getPath()), key=lambda x: x.getPath().getName()) if s.isDirectory() else [s]
+            out += [(str(x.getPath().toString()), int(x.getLen())) for x in inner if not x.getPath().getName().startswith(("_", "."))]
+    return out
 
-        def unpack(batches):
-            import pyarrow as pa
 
+def _lines(spark: SparkSession, paths: Sequence[str], split_bytes: int | None = None) -> DataFrame:
+    """Lines of plain, gzip and block-compressed files."""
+    plain, splits = [], []
+    for path, size in _files(spark, paths):
+        if not re.search(r"\.b?gz$", path):
+            plain.append(path)
+        elif _kind(path) == "blocks":
+            step = split_bytes or SPLIT_BYTES
+            splits += [(path, k * step, min(size, (k + 1) * step), True) for k in range(max(1, math.ceil(size / step)))]
+        else:
+            splits.append((path, 0, size, False))
+    parts = [spark.read.text(plain).select("value")] if plain else []
+    if splits:
+
+        def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for raw in batch.column("content"):
-                    text = gzip.decompress(raw.as_py()).decode()
-                    yield pa.RecordBatch.from_arrays([pa.array(text.splitlines(), pa.string())], ["value"])
-
-        parts.append(spark.read.format("binaryFile").load(odd).select("content").mapInArrow(unpack, "value string"))
+                for row in batch.to_pylist():
+                    held, size = [], 0
+                    for line in split_lines(row["path"], row["start"], row["stop"]) if row["blocks"] else _stream_lines(row["path"], row["path"].endswith("gz")):
+                        held.append(_text_of(line))
+                        size += len(line)
+                        if size > _BATCH_BYTES:
+                            yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["value"])
+                            held, size = [], 0
+                    if held:
+                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["value"])
+
+        table = spark.createDataFrame([(k, *x) for k, x in enumerate(splits)], "k int, path string, start long, stop long, blocks boolean")
+        parts.append(table.repartitionById(len(splits), F.col("k")).mapInArrow(unpack, "value string"))
+    if not parts:
+        raise FileNotFoundError(f"no VCF files in {list(paths)}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -88,13 +248,18 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_header(spark: SparkSession, path: str) -> Header:
-    """The header lines of one file, however many; they come first, so reading ends at #CHROM, the last of them."""
+    """The header lines of one file (of a folder its first), however many: reading ends at the first record."""
+    name, size = _files(spark, [path])[0]
+    kind = _kind(name)
     head = []
-    for row in _lines(spark, [path]).where("value like '#%'").toLocalIterator():
-        head.append(row[0])
-        if row[0].startswith("#CHROM"):
+    for line in split_lines(name, 0, size) if kind == "blocks" else _stream_lines(name, kind == "gzip"):
+        if not line.startswith(b"#"):
             break
-    return parse_header(head)
+        head.append(_text_of(line))
+    header = parse_header(head)
+    if not any(x.startswith("#CHROM") for x in head):
+        raise ValueError(f"{path}: no #CHROM line before the first record")
+    return header
 
 
 def _value(text: Column, f: Field) -> Column:
@@ -178,14 +343,22 @@ def _text(c: Column, kind: str) -> Column:
 def vcf_lines(sites: DataFrame, entries: DataFrame, samples: Sequence[str], info: Sequence[str] = (), formats: Sequence[str] = ("gt",), key: Sequence[str] = ("contig", "pos", "alleles")) -> DataFrame:
     """(contig, pos, alleles, line): one VCF line per site; a sample without entry has a missing call.
 
-    ``samples`` is the order of the columns. The calls of a site are collected into one row, which is what a line is.
+    ``samples`` is the order of the columns. The calls of a site are collected into one row, which is what a line is; of
+    several entries of a sample the smallest counts.
     """
     kinds = dict(entries.dtypes)
     value = lambda f: format_call(F.col(f)) if kinds[f].startswith("struct") else _text(F.col(f), kinds[f])
     cell = F.concat_ws(":", *[value(f) for f in formats])
-    per = entries.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("s", cell.alias("v")))).alias("_cells"))
-    order = F.array(*[F.lit(s) for s in samples])
+    spark = sites.sparkSession
     empty = ":".join("./." if kinds[f].startswith("struct") else "." for f in formats)
+    # calls go by their sample's number; between two of them, and at either end, the missing ones are filled in
+    number = F.broadcast(spark.createDataFrame([(s, k) for k, s in enumerate(samples)], "s string, _k int"))  # as many as the columns of a line
+    per = entries.join(number, "s").select(*key, "_k", cell.alias("_v")).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("_k", "_v"))).alias("_cells"))
+    before = lambda i: F.coalesce(F.get("_cells", i - 1)["_k"], F.lit(-1))
+    blank = lambda n: F.repeat(F.lit("\t" + empty), n)
+    filled = F.transform("_cells", lambda x, i: F.when(x["_k"] > F.when(i > 0, before(i)).otherwise(-1), F.concat(blank(x["_k"] - F.when(i > 0, before(i)).otherwise(-1) - 1), F.lit("\t"), x["_v"])))
+    last = F.coalesce(F.element_at("_cells", -1)["_k"], F.lit(-1))
+    calls = F.when(F.size("_cells") > 0, F.concat(F.array_join(filled, ""), blank(F.lit(len(samples) - 1) - last))).otherwise(blank(F.lit(len(samples))))
     site_kinds = dict(sites.dtypes)
 
     def item(n: str) -> Column:
@@ -198,12 +371,11 @@ def vcf_lines(sites: DataFrame, entries: DataFrame, samples: Sequence[str], info
     has = lambda n, other: F.coalesce(F.col(n).cast("string"), F.lit(other)) if n in site_kinds else F.lit(other)
     filters = F.when(F.size("filters") == 0, "PASS").otherwise(F.coalesce(F.array_join("filters", ";"), F.lit("."))) if "filters" in site_kinds else F.lit(".")
     j = sites.join(per, list(key), "left")
-    calls = F.array_join(F.transform(order, lambda s: F.coalesce(F.try_element_at("_cells", s), F.lit(empty))), "\t")
     alt = F.array_join(F.slice("alleles", 2, F.greatest(F.lit(0), F.size("alleles") - 1)), ",")
-    line = F.concat_ws(
-        "\t", "contig", F.col("pos").cast("string"), has("rsid", "."), F.get("alleles", F.lit(0)), F.when(alt != "", alt).otherwise("."), has("qual", "."), filters, F.when(text != "", text).otherwise("."), F.lit(":".join(f.upper() for f in formats)), calls
+    front = F.concat_ws(
+        "\t", "contig", F.col("pos").cast("string"), has("rsid", "."), F.get("alleles", F.lit(0)), F.when(alt != "", alt).otherwise("."), has("qual", "."), filters, F.when(text != "", text).otherwise("."), F.lit(":".join(f.upper() for f in formats))
     )
-    return j.select("contig", "pos", "alleles", line.alias("line"))
+    return j.select("contig", "pos", "alleles", F.concat(front, calls).alias("line"))
 
 
 def header_lines(samples: Sequence[str], contigs: Sequence[str] = (), info: Sequence[Field] = (), formats: Sequence[Field] = ()) -> list[str]:
@@ -213,12 +385,23 @@ def header_lines(samples: Sequence[str], contigs: Sequence[str] = (), info: Sequ
     return [*meta, "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *samples])]
 
 
-def write_by_contig(lines: DataFrame, header: Sequence[str], path: str, contigs: Sequence[str] | None = None) -> None:
-    """One folder per contig in a single job; each holds one sorted file that begins with the header."""
+#: Sites of one written file.
+PART_SITES = 200_000
+
+
+def write_by_contig(lines: DataFrame, header: Sequence[str], path: str, contigs: Sequence[str] | None = None, part_sites: int = PART_SITES) -> None:
+    """One folder per contig in a single job; its files, joined in the order of their names, are one sorted VCF file.
+
+    Sites are parted by ranges of (contig, pos), so that a chromosome is written by several tasks; the first of its
+    files begins with the header.
+    """
     if contigs is not None:
         lines = lines.where(F.col("contig").isin(*contigs))
+    lines = materialize(lines.select("contig", "pos", "alleles", "line"))
     head = lines.select("contig").distinct().select("contig", F.posexplode(F.array(*[F.lit(x) for x in header])).alias("_n", "line"))
-    head = head.select("contig", (F.col("_n") - len(header)).alias("pos"), F.lit(None).cast("array<string>").alias("alleles"), "line")
-    both = head.unionByName(lines.select("contig", "pos", "alleles", "line"))
-    n = max(1, len(contigs) if contigs is not None else lines.select("contig").distinct().count())
-    both.repartition(n, "contig").sortWithinPartitions("contig", "pos", "alleles").select("contig", F.col("line").alias("value")).write.partitionBy("contig").mode("overwrite").option("compression", "gzip").text(path)
+    head = head.select("contig", (F.col("_n") - len(header)).cast(lines.schema["pos"].dataType).alias("pos"), F.lit(None).cast("array<string>").alias("alleles"), "line")
+    both = head.unionByName(lines)
+    order = ("contig", "pos", "alleles")
+    parts = max(1, math.ceil(lines.count() / part_sites))
+    both.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("contig", F.col("line").alias("value")).write.partitionBy("contig").mode("overwrite").option("compression", "gzip").text(path)
+    release(lines)

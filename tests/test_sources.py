@@ -1,4 +1,5 @@
 import gzip
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,9 +118,9 @@ def test_sinks(spark, tmp_path):
     assert keep.exists()
     sinks.clear_folder(f"file://{keep}")
     assert not keep.exists()
-    assert sinks.path_spark("/a") == "file:///a" and sinks.path_local("file:///a") == "/a" and sinks.model_path("/r", "model", "m") == "/r/m/rf.model"
-    with pytest.raises(NotImplementedError):
-        sinks.path_spark("hdfs://a")
+    assert sinks.resolve(spark, "/a") == "file:/a" and sinks.path_local("/a") == "/a" and sinks.path_local("file:/a") == "/a" and sinks.path_local("file:///a") == "/a" and sinks.model_path("/r", "model", "m") == "/r/m/rf.model"
+    with pytest.raises(ValueError):
+        sinks.path_local("hdfs://a/b")
     assert sinks.audit(spark, str(tmp_path / "trail"), "one").count() == 1
     grid = spark.createDataFrame([("a",), ("b",)], "point string")
     assert rows(sinks.missing_points(grid, grid.where("point = 'a'"))) == [("b",)]
@@ -135,3 +136,71 @@ def test_config(tmp_path, monkeypatch):
     assert str(config.find()) == "/abs.yaml" and str(config.find("given")) == "given"
     with pytest.raises(ValueError):
         config.resolve({"a": "${b}", "b": "${a}"})
+
+
+def blocks(data, size=700):
+    """Block-compressed bytes of ``data``: gzip members with their length in the extra field BC, and the empty last one."""
+    out = b""
+    for k in [*range(0, len(data), size), None]:
+        part = b"" if k is None else data[k : k + size]
+        deflate = zlib.compressobj(6, zlib.DEFLATED, -15)
+        body = deflate.compress(part) + deflate.flush()
+        out += b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + (len(body) + 25).to_bytes(2, "little") + body + zlib.crc32(part).to_bytes(4, "little") + len(part).to_bytes(4, "little")
+    return out
+
+
+@pytest.mark.parametrize("end", ["\n", ""])
+def test_block_compressed_files_are_read_by_several_tasks(spark, tmp_path, monkeypatch, end):
+    lines = [f"chr{1 + k % 3}\t{k}\t{'x' * (k * 37 % 900)}\tA\tC\t.\t.\t.\tGT\t0/1\té" for k in range(400)]
+    data = (VCF.split("chr1")[0] + "\n".join(lines) + end).encode()
+    for name in ("a.vcf.gz", "b.vcf.bgz"):
+        (tmp_path / name).write_bytes(blocks(data))
+    (tmp_path / "c.vcf.gz").write_bytes(gzip.compress(data[:5000]) + gzip.compress(data[5000:]))  # two plain members
+    (tmp_path / "d.vcf").write_bytes(data)
+    want = sorted(data.decode().splitlines())
+    for split in (50, 333, 4000, 10**9):
+        for name in ("a.vcf.gz", "b.vcf.bgz"):
+            got = [x.decode() for k in range(0, (tmp_path / name).stat().st_size, split) for x in vcf.split_lines(str(tmp_path / name), k, min(k + split, (tmp_path / name).stat().st_size))]
+            assert sorted(got) == want, (split, name)
+    monkeypatch.setattr(vcf, "SPLIT_BYTES", 2000)
+    for name in ("a.vcf.gz", "b.vcf.bgz", "c.vcf.gz", "d.vcf"):
+        table = vcf._lines(spark, [str(tmp_path / name)])
+        assert sorted(r[0] for r in table.collect()) == want
+        assert vcf.read_header(spark, str(tmp_path / name)).samples == ["S1", "S2"]
+    assert vcf._lines(spark, [str(tmp_path / "a.vcf.gz")]).rdd.getNumPartitions() > 3
+    with pytest.raises(ValueError):
+        (tmp_path / "e.vcf").write_text("chr1\t1\n")
+        vcf.read_header(spark, str(tmp_path / "e.vcf"))
+
+
+def test_lines_fill_in_missing_samples_and_are_written_in_parts(spark, tmp_path):
+    sites = spark.createDataFrame([("chr1", k, ["A", "C"]) for k in range(1, 30)] + [("chr2", 5, ["A", "C"])], "contig string, pos int, alleles array<string>")
+    names = [f"s{k}" for k in range(6)]
+    calls = [("chr1", p, ["A", "C"], names[k], {"a0": 0, "a1": 1, "phased": False}, 7) for p in range(1, 30) for k in range(6) if (p * 7 + k * k) % 3 == 0] + [("chr1", 3, ["A", "C"], "s1", None, 1), ("chr1", 3, ["A", "C"], "other", None, 1)]
+    entries = spark.createDataFrame(calls, "contig string, pos int, alleles array<string>, s string, gt struct<a0:int,a1:int,phased:boolean>, dp int")
+    lines = vcf.vcf_lines(sites, entries, names, [], ["gt", "dp"])
+    have = {(c, p, s) for c, p, _, s, gt, _ in calls if gt}
+    for r in lines.collect():
+        cells = r["line"].split("\t")[9:]
+        for s, cell in zip(names, cells, strict=True):
+            assert cell == ("0/1:7" if (r["contig"], r["pos"], s) in have else "./.:1" if (r["pos"], s) == (3, "s1") else "./.:."), (r, s)
+    vcf.write_by_contig(lines, vcf.header_lines(names, ["chr1", "chr2"]), str(tmp_path / "o"), part_sites=8)
+    files = sorted((tmp_path / "o" / "contig=chr1").glob("*.gz"))
+    assert len(files) > 1
+    whole = "".join(gzip.open(f, "rt").read() for f in files).splitlines()
+    assert [x.startswith("#") for x in whole] == [True] * 4 + [False] * 29 and [int(x.split("\t")[1]) for x in whole[4:]] == list(range(1, 30))
+
+
+def test_plink_segments(spark, tmp_path):
+    variants = spark.createDataFrame([(k, f"chr{1 + k % 2}", k % 2, 100 - k, "A", "C") for k in range(9)], "vid long, contig string, contig_idx int, pos int, ref string, alt string")
+    gt = {(k, s): (k * s) % 4 for k in range(9) for s in range(5)}
+    entries = spark.createDataFrame([(k, s, g if g < 3 else None) for (k, s), g in gt.items() if k != 4], "vid long, sid int, gt int")
+    sinks.write_plink(entries, variants, [3, 0, 1, 2, 4], str(tmp_path / "x" / "p"), batch=1 / 32)
+    order = sorted(range(9), key=lambda k: (k % 2, 100 - k))
+    bed, bim = (tmp_path / "x" / "p.bed").read_bytes(), (tmp_path / "x" / "p.bim").read_text().splitlines()
+    assert [x.split("\t")[3] for x in bim] == [str(100 - k) for k in order] and bed[:3] == b"\x6c\x1b\x01" and len(bed) == 3 + 9 * 2
+    for n, k in enumerate(order):
+        for m, s in enumerate([3, 0, 1, 2, 4]):
+            g = 3 if k == 4 else gt[k, s]
+            assert bed[3 + n * 2 + m // 4] >> (2 * (m % 4)) & 3 == {0: 3, 1: 2, 2: 0, 3: 1}[g]
+    assert not (tmp_path / "x" / "p.segments").exists()
