@@ -11,6 +11,8 @@ AUTOSOMES = [f"chr{k}" for k in range(1, 23)]
 CONTIGS = [*AUTOSOMES, "chrX", "chrY"]
 #: Pseudo-autosomal regions of chrX in build 38 (fixed values, 1-based, inclusive).
 X_PAR = ((10_001, 2_781_479), (155_701_383, 156_030_895))
+#: The same of chrY.
+Y_PAR = ((10_001, 2_781_479), (56_887_903, 57_217_415))
 
 
 def _c(col: Column | str) -> Column:
@@ -128,8 +130,9 @@ def genotype_index(j: Column, k: Column) -> Column:
 
 def gq_from_pl(pl: Column | str) -> Column:
     """The second smallest likelihood less the smallest, at most 99."""
-    s = F.array_sort(_c(pl))
-    return F.least(F.lit(99), F.get(s, F.lit(1)) - F.get(s, F.lit(0)))
+    s = F.sort_array(F.filter(_c(pl), lambda x: x.isNotNull()))
+    gap = F.get(s, F.lit(1)) - F.get(s, F.lit(0))
+    return F.when(gap.isNotNull(), F.least(F.lit(99), gap))
 
 
 def het_ab(gt: Column | str = "gt", ad_alt: Column | str = "ad_alt", sum_ad: Column | str = "dp") -> Column:
@@ -160,6 +163,10 @@ def in_x_nonpar(contig: Column | str = "contig", pos: Column | str = "pos") -> C
     return (contig_idx(contig) == 23) & ~reduce(lambda a, b: a | b, [_c(pos).between(lo, hi) for lo, hi in X_PAR])
 
 
+def in_y_nonpar(contig: Column | str = "contig", pos: Column | str = "pos") -> Column:
+    return (contig_idx(contig) == 24) & ~reduce(lambda a, b: a | b, [_c(pos).between(lo, hi) for lo, hi in Y_PAR])
+
+
 def parse_interval(text: str) -> tuple[str, int | None, int | None]:
     """'chr20' or 'chr20:100-200' as (contig, first, last)."""
     contig, _, span = text.partition(":")

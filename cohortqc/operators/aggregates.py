@@ -20,35 +20,45 @@ def duplicates(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataF
     return df.groupBy(*keys).agg(F.count("*").alias(name)).where(F.col(name) > 1)
 
 
-def hwe_midp(n_ref: int, n_het: int, n_var: int) -> float:
-    """Exact test of Hardy-Weinberg equilibrium with the mid-p correction: the probabilities of all numbers of
-    heterozygotes that are less likely than the observed one, and half of those as likely (0.5 without variation)."""
-    n = n_ref + n_het + n_var
-    rare = 2 * min(n_ref, n_var) + n_het
-    if not n:
-        return float("nan")
-    hets = np.arange(rare % 2, rare + 1, 2)
-    # log of n! / (hom! het! hom!) * 2^het, up to a constant
-    lg = np.frompyfunc(math.lgamma, 1, 1)
-    rare_hom = (rare - hets) // 2
-    logp = hets * math.log(2) - (lg(rare_hom + 1.0) + lg(hets + 1.0) + lg(n - hets - rare_hom + 1.0)).astype(float)
-    p = np.exp(logp - logp.max())
-    p /= p.sum()
-    seen = p[(n_het - rare % 2) // 2]
-    same = np.isclose(p, seen, rtol=1e-9, atol=0)
-    return float(min(1.0, p[(p < seen) & ~same].sum() + p[same].sum() / 2))
+#: Terms of the exact test that are held at once.
+HWE_TERMS = 4_000_000
+
+
+def hwe_midp(n_ref: np.ndarray, n_het: np.ndarray, n_var: np.ndarray) -> np.ndarray:
+    """Exact tests of Hardy-Weinberg equilibrium with the mid-p correction: the probabilities of all numbers of
+    heterozygotes that are less likely than the observed one, and half of those as likely (0.5 without variation, NaN
+    without calls). All tests are done at once, in pieces of HWE_TERMS terms."""
+    n_ref, n_het, n_var = (np.atleast_1d(np.asarray(x, np.int64)) for x in (n_ref, n_het, n_var))
+    n, rare = n_ref + n_het + n_var, 2 * np.minimum(n_ref, n_var) + n_het
+    out = np.full(len(n), np.nan)
+    log_factorial = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n.max(initial=0) + 1)))])
+    terms = rare // 2 + 1
+    piece = np.cumsum(terms) // HWE_TERMS
+    for k in np.unique(piece):
+        at = np.flatnonzero((piece == k) & (n > 0))
+        if not len(at):
+            continue
+        size = terms[at]
+        start = np.cumsum(size) - size
+        step = np.arange(size.sum()) - np.repeat(start, size)  # number of rare homozygotes, from none
+        test = np.repeat(at, size)
+        het = rare[test] - 2 * step
+        # log of n! / (hom! het! hom!) * 2^het, up to a constant
+        logp = het * math.log(2) - (log_factorial[step] + log_factorial[het] + log_factorial[n[test] - het - step])
+        seen = start + (rare[at] - n_het[at]) // 2
+        p = np.exp(logp - np.repeat(np.maximum.reduceat(logp, start), size))
+        mine = np.repeat(p[seen], size)
+        same = np.isclose(p, mine, rtol=1e-9, atol=0)
+        less = np.where((p < mine) & ~same, p, 0) + np.where(same, p / 2, 0)
+        out[at] = np.minimum(1.0, np.add.reduceat(less, start) / np.add.reduceat(p, start))
+    return out
 
 
 @F.pandas_udf(T.DoubleType())
 def hwe_p(it: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    known: dict[tuple, float] = {}  # the same counts recur
-    for ref, het, var in it:
-        out = []
-        for key in zip(ref, het, var, strict=True):
-            if key not in known:
-                known[key] = hwe_midp(*map(int, key))
-            out.append(known[key])
-        yield pd.Series(out)
+    for counts in it:
+        keys, code = np.unique(np.stack([c.to_numpy(np.int64) for c in counts], 1), axis=0, return_inverse=True)  # the same counts recur
+        yield pd.Series(hwe_midp(keys[:, 0], keys[:, 1], keys[:, 2])[code.reshape(-1)])
 
 
 def count_if(cond: Column) -> Column:
@@ -198,6 +208,14 @@ def histogram(df: DataFrame, value: str, low: float, high: float, bins: int) ->
     return df.where(v.between(low, high)).groupBy(k.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
+def summary(df: DataFrame, value: str) -> DataFrame:
+    """(n, n_missing, mean, stdev, min, median, max) of a number column; NaN and infinite values count as missing."""
+    v = F.when(F.abs(F.col(value).cast("double")) < float("inf"), F.col(value).cast("double"))
+    return df.select(v.alias("v")).agg(
+        F.count("v").alias("n"), F.count_if(F.col("v").isNull()).alias("n_missing"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("stdev"), F.min("v").alias("min"), F.median("v").alias("median"), F.max("v").alias("max")
+    )
+
+
 def below_above(df: DataFrame, value: str, low: float, high: float) -> DataFrame:
     return df.agg(F.count_if(F.col(value) < low).alias("below"), F.count_if(F.col(value) > high).alias("above"))
 

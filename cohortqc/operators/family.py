@@ -19,7 +19,7 @@ from cohortqc.session import materialize
 def mendel_code(kid: str = "kid_gt", dad: str = "dad_gt", mom: str = "mom_gt", haploid: Column | None = None) -> Column:
     """The usual code of an impossible combination of calls (null if it is possible or cannot be told).
 
-    ``haploid``: 'X' or 'Y' where a son's call comes from one parent only; null elsewhere.
+    ``haploid``: 'X' or 'Y' where a son's call comes from one parent only, null elsewhere; no error can be told where it is another text.
     """
     k, d, m = F.col(kid), F.col(dad), F.col(mom)
     auto = (
@@ -31,10 +31,33 @@ def mendel_code(kid: str = "kid_gt", dad: str = "dad_gt", mom: str = "mom_gt", h
         return auto
     x = F.when((k == 0) & (m == 2), 9).when((k == 2) & (m == 0), 10)
     y = F.when((k == 0) & (d == 2), 11).when((k == 2) & (d == 0), 12)
-    return F.when(haploid == "X", x).when(haploid == "Y", y).otherwise(auto)
+    return F.when(haploid == "X", x).when(haploid == "Y", y).when(haploid.isNull(), auto)
+
+
+def haploid_of(contig: Column | str = "contig", pos: Column | str = "pos", is_female: Column | str = "is_female") -> Column:
+    """'X' or 'Y' where the child has one copy only (sons outside the pseudo-autosomal regions), '?' there if the sex is
+    unknown, else null."""
+    female = F.col(is_female) if isinstance(is_female, str) else is_female
+    x, y = G.in_x_nonpar(contig, pos), G.in_y_nonpar(contig, pos)
+    return F.when((x | y) & female.isNull(), "?").when(x & ~female, "X").when(y & ~female, "Y")
+
+
+def with_haploid(trio: DataFrame, variants: DataFrame, trios: DataFrame) -> DataFrame:
+    """Adds ``haploid`` to a trio table, from the variants' loci (vid, contig, pos) and the children's sex (is_female in
+    ``trios``). Only variants of the sex chromosomes and one row per child are looked up. Without the children's sex all
+    calls count as diploid."""
+    if "is_female" not in trios.columns:
+        return trio.withColumn("haploid", F.lit(None).cast("string"))
+    sex = variants.where(G.in_x_nonpar() | G.in_y_nonpar()).select("vid", "contig", "pos")
+    kids = trios.groupBy("fam_id", "kid", "dad", "mom").agg(F.max("is_female").alias("is_female"))
+    j = trio.join(sex, "vid", "left").join(kids, ["fam_id", "kid", "dad", "mom"], "left")
+    return j.withColumn("haploid", haploid_of()).drop("contig", "pos", "is_female")
 
 
 def mendel_errors(trio: DataFrame, haploid: Column | None = None) -> DataFrame:
+    """Trio rows with an error and its code. A column ``haploid`` (:func:`with_haploid`) is heeded if there is one."""
+    if haploid is None and "haploid" in trio.columns:
+        haploid = F.col("haploid")
     return trio.withColumn("mendel_code", mendel_code(haploid=haploid)).where("mendel_code is not null")
 
 
@@ -77,10 +100,10 @@ def transmissions(kid: str = "kid_gt", dad: str = "dad_gt", mom: str = "mom_gt")
 
 @F.pandas_udf(T.DoubleType())
 def chi2_p(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Upper tail of chi-square with one degree of freedom."""
-    tail = np.frompyfunc(lambda x: math.erfc(math.sqrt(x / 2)) if x == x else float("nan"), 1, 1)
+    """Upper tail of chi-square with one degree of freedom; a batch's different values are few, as they come from counts."""
     for chi in it:
-        yield pd.Series(tail(chi.to_numpy(float)).astype(float))
+        values, code = np.unique(chi.to_numpy(float), return_inverse=True)
+        yield pd.Series(np.array([math.erfc(math.sqrt(x / 2)) if x == x else math.nan for x in values.tolist()], float)[code])
 
 
 def tdt(trio: DataFrame, p_value: bool = True) -> DataFrame:

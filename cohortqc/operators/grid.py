@@ -9,6 +9,7 @@ entries: a grid of 128 points costs hardly more than one of 2.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,8 @@ from cohortqc.session import bounded_rows, materialize
 
 #: Points of one grid.
 MAX_POINTS = 10_000
+#: Pairs of a point and a level cell that are broadcast.
+BROADCAST_CELLS = 200_000
 
 POINT = "bin int, dp int, gq int, ab double, call_rate double, point string"
 
@@ -61,15 +64,18 @@ def _with_levels(entries: DataFrame, levels: dict[str, list]) -> DataFrame:
 def _admitting(grid: DataFrame, levels: dict[str, list]) -> DataFrame:
     """The points that each level cell meets: (l_dp, l_gq, l_ab, point, bin, call_rate, p_dp, p_gq, p_ab).
 
-    Parameters of a run, at most levels^3 rows per point: they are broadcast and meet the cells by equality.
+    Points and cells meet by equality. They are broadcast up to BROADCAST_CELLS rows, which are counted beforehand, and
+    shuffled by cell beyond that.
     """
-    need = lambda r, c: sum(r[c] >= t for t in levels[c])
-    rows = []
-    for r in bounded_rows(grid, MAX_POINTS, "grid points"):
-        low = (need(r, "dp"), need(r, "gq"), need(r, "ab"))
-        for cell in itertools.product(*[range(k, len(levels[c]) + 1) for k, c in zip(low, ("dp", "gq", "ab"), strict=True)]):
-            rows.append((*cell, r["point"], r["bin"], r["call_rate"], *low))
-    return F.broadcast(grid.sparkSession.createDataFrame(rows, "l_dp int, l_gq int, l_ab int, point string, bin int, call_rate double, p_dp int, p_gq int, p_ab int"))
+    names = ("dp", "gq", "ab")
+    rows = bounded_rows(grid, MAX_POINTS, "grid points")
+    low = [[sum(r[c] >= t for t in levels[c]) for c in names] for r in rows]
+    size = sum(math.prod(len(levels[c]) + 1 - k for k, c in zip(own, names, strict=True)) for own in low)
+    table = grid.sparkSession.createDataFrame([(*own, r["point"], r["bin"], r["call_rate"]) for own, r in zip(low, rows, strict=True)], "p_dp int, p_gq int, p_ab int, point string, bin int, call_rate double")
+    for c in names:
+        table = table.withColumn(f"l_{c}", F.explode(F.sequence(F.col(f"p_{c}"), F.lit(len(levels[c])))))
+    table = table.select(*[f"l_{c}" for c in names], "point", "bin", "call_rate", *[f"p_{c}" for c in names])
+    return F.broadcast(table) if size <= BROADCAST_CELLS else table
 
 
 _CELL = ["l_dp", "l_gq", "l_ab"]
@@ -91,9 +97,11 @@ def tp_fp(kept: DataFrame, variants: DataFrame, grid: DataFrame) -> DataFrame:
     return grid.select("point").join(per, "point", "left").fillna(0)
 
 
-def mendel(entries: DataFrame, trios: DataFrame, kept: DataFrame, grid: DataFrame) -> DataFrame:
+def mendel(entries: DataFrame, trios: DataFrame, kept: DataFrame, grid: DataFrame, variants: DataFrame | None = None) -> DataFrame:
     """(point, mendelian_error_mean, mendelian_error_std) over the probands, per variant that the point keeps.
 
+    With ``variants`` (vid, contig, pos) and the children's sex in ``trios``, sons have one copy of the sex chromosomes.
+
     A filtered parent's call is unknown, which can change an error into another or into none. Each erroneous or
     possible trio is therefore judged per point, but only trios with an error under some filter are expanded.
     """
@@ -103,9 +111,11 @@ def mendel(entries: DataFrame, trios: DataFrame, kept: DataFrame, grid: DataFram
     # without a parent's call fewer errors can be told, so an error needs one with either parent's call at hand
     k, d, m = F.col("kid_gt"), F.col("dad_gt"), F.col("mom_gt")
     suspect = trio.where(((k == 2) & ((d == 0) | (m == 0))) | ((k == 0) & ((d == 2) | (m == 2))) | ((k == 1) & (((d == 2) & (m == 2)) | ((d == 0) & (m == 0)))))
+    if variants is not None:
+        suspect = family.with_haploid(suspect, variants, trios)
     p = _admitting(grid, levels).select(*[F.col(c).alias(f"kid_{c}") for c in _CELL], "point", "p_dp", "p_gq", "p_ab")
     ok = lambda r: (F.col(f"{r}_l_dp") >= F.col("p_dp")) & (F.col(f"{r}_l_gq") >= F.col("p_gq")) & (F.col(f"{r}_l_ab") >= F.col("p_ab"))
-    judged = suspect.join(F.broadcast(p), [f"kid_{c}" for c in _CELL]).join(kept, ["point", "vid"], "left_semi")
+    judged = suspect.join(p, [f"kid_{c}" for c in _CELL]).join(kept, ["point", "vid"], "left_semi")
     judged = judged.withColumns({f"{r}_gt": F.when(ok(r), F.col(f"{r}_gt")) for r in ("dad", "mom")})
     errors = family.mendel_errors(judged).groupBy("point", "kid").agg(F.count("*").alias("errors"))
     sums = errors.groupBy("point").agg(F.sum("errors").alias("e"), F.sum(F.col("errors") * F.col("errors")).alias("ee"))
@@ -128,7 +138,7 @@ def transmission(entries: DataFrame, trios: DataFrame, variants: DataFrame, kept
     founders = members.join(trios.select(F.col("kid").alias("sid")), "sid", "left_anti").withColumn("founder", F.lit(True))
     e = _with_levels(entries.join(syn, "vid", "left_semi").join(F.broadcast(members), "sid", "left_semi"), levels)
     p = _admitting(grid, levels).select(*_CELL, "point")
-    admitted = materialize(e.join(F.broadcast(p), _CELL).join(kept, ["point", "vid"], "left_semi").select("point", "vid", "sid", "gt"))
+    admitted = materialize(e.join(p, _CELL).join(kept, ["point", "vid"], "left_semi").select("point", "vid", "sid", "gt"))
     single = admitted.join(F.broadcast(founders), "sid").groupBy("point", "vid").agg(F.sum("gt").alias("ac")).where("ac = 1").select("point", "vid")
     some = admitted.join(single, ["point", "vid"], "left_semi").select(F.struct("point", "vid").alias("vid"), "sid", "gt")
     t, u = family.transmissions()
@@ -158,7 +168,7 @@ def grid_precision_recall(entries: DataFrame, kept: DataFrame, control: DataFram
     levels = _levels(grid)
     own = _with_levels(entries.where((F.col("sid") == sample) & (F.col("gt") > 0)), levels)
     p = _admitting(grid, levels).select(*_CELL, "point")
-    test = own.join(F.broadcast(p), _CELL).join(kept, ["point", "vid"], "left_semi").select("point", "vid")
+    test = own.join(p, _CELL).join(kept, ["point", "vid"], "left_semi").select("point", "vid")
     hit = test.join(control.select("vid", F.lit(1).alias("in_control")), "vid", "left").groupBy("point").agg(F.count("in_control").alias("tp"), F.count("*").alias("test"))
     share = lambda of: F.coalesce(F.try_divide(F.col("tp").cast("double"), of.cast("double")), F.lit(-1.0))
     return grid.select("point").join(hit, "point", "left").fillna(0).select("point", share(F.col("test")).alias("prec"), share(F.lit(control.count())).alias("recall"))

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 #: Interval tables of up to so many rows are broadcast; larger ones are joined by tile.
 BROADCAST_INTERVALS = 100_000
@@ -89,8 +88,13 @@ def collect_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def row_index(df: DataFrame, order: Sequence, name: str = "idx") -> DataFrame:
-    """0-based position in a total order of the rows of a small table (one row per sample)."""
-    return df.withColumn(name, F.row_number().over(W.orderBy(*order)) - 1)
+    """0-based position in a total order of the rows. ``order``: columns or names; ranges of it are numbered in parallel."""
+    from cohortqc.operators.ranks import prefix_counts
+
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    names = [f"_o{k}" for k in range(len(keys))]
+    marked = df.select("*", *[k.alias(n) for k, n in zip(keys, names, strict=True)], F.lit(0).alias("_all"))
+    return prefix_counts(marked, "_all", names, {name: "true"}).drop("_all", *names)
 
 
 def differences(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str], tolerance: float = 1e-9) -> DataFrame:

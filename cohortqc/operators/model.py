@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortqc.functions.genetics import in_intervals
+from cohortqc.functions.ids import lot
 
 # fixed values: the model's features
 FEATURES = ("variant_type", "allele_type", "n_alt_alleles", "was_mixed", "was_split", "has_star", "mq", "qd", "mqranksum", "sor", "readposranksum", "mean_het_ab")
@@ -51,7 +52,7 @@ def training_rows(df: DataFrame, fp_to_tp: float = 1.0, test_intervals: str | Se
     if fp_to_tp > 0 and n_tp and n_fp:
         want = fp_to_tp * n_tp
         share = {"TP": min(1.0, n_fp / want), "FP": min(1.0, want / n_fp)}
-    luck = F.pmod(F.xxhash64("vid", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
+    luck = lot("vid", seed)
     drawn = F.when(F.col("rf_label") == "TP", luck < share["TP"]).when(F.col("rf_label") == "FP", luck < share["FP"])
     return df.withColumn("rf_train", F.coalesce(outside & drawn, F.lit(False)))
 
@@ -101,7 +102,7 @@ def assign_populations(scores: DataFrame, trees: int = 100, share: float = 0.8,
     """(sid, known_pop, pop, probability): populations by a forest on the principal components, trained on a seeded share
     of the samples whose population is known; below ``min_prob`` the population is 'oth'."""
     s = scores.withColumn("_features", array_to_vector("scores"))
-    luck = F.pmod(F.xxhash64("sid", F.lit(seed)), F.lit(10_000)) / 10_000
+    luck = lot("sid", seed)
     known = s.where("known_pop is not null")
     index = StringIndexer(inputCol="known_pop", outputCol="_label", stringOrderType="alphabetAsc").fit(known)
     rf = RandomForestClassifier(featuresCol="_features", labelCol="_label", probabilityCol="_prob", numTrees=trees, seed=seed)

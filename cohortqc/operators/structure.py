@@ -1,24 +1,29 @@
 """Sex, linkage pruning, principal components, relatedness and independent sets.
 
 Matrices of samples by samples are small (MAX_SAMPLES, checked); everything that grows with the number of variants
-stays distributed and reaches the driver as sums over variants.
+stays distributed. Sums over variants are taken by all tasks at once, tile by tile, and added up in executors; the
+driver gets one matrix, whatever the number of partitions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cohortqc.functions import genetics as G
 from cohortqc.session import bounded_rows, materialize, release
 
 #: Dense matrices of samples by samples are made up to this size.
 MAX_SAMPLES = 4096
+#: Samples of one side of a tile of such a matrix.
+TILE_SAMPLES = 1024
 #: Blocks to a window of linkage pruning, and pairs of variants that a task of it holds at once.
 LD_BLOCKS = 4
 LD_CELLS = 1_000_000
@@ -44,7 +49,8 @@ def independent_set(edges: DataFrame, priority: DataFrame) -> DataFrame:
 
     ``edges``: (a, b), undirected, each pair in any order; ``priority``: (node, p), p totally ordered. A node that
     comes before all of its undecided neighbours is kept and its neighbours are dropped; this repeats until no edge is
-    left. The result is that of taking the nodes one by one, and it is maximal.
+    left. The result is that of taking the nodes one by one, and it is maximal. Where many priorities agree, ties must be
+    broken by a hash (:func:`tie`): then the expected number of rounds is logarithmic, even on long chains.
     """
     both = edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select("b", "a")).distinct()
     pa_, pb = priority.select(F.col("node").alias("a"), F.col("p").alias("pa")), priority.select(F.col("node").alias("b"), F.col("p").alias("pb"))
@@ -64,11 +70,16 @@ def independent_set(edges: DataFrame, priority: DataFrame) -> DataFrame:
     return priority.select("node").join(dropped.distinct().withColumn("_gone", F.lit(True)), "node", "left").select("node", F.col("_gone").isNull().alias("kept"))
 
 
+def tie(c: str) -> Column:
+    """Orders ids as if by lot, but always alike."""
+    return F.md5(F.col(c).cast("string"))
+
+
 def unrelated_samples(relatedness: DataFrame, min_kin: float = 0.125) -> DataFrame:
-    """(s, kept) of every sample in a pair above ``min_kin``: those with few relatives first, then the smaller id."""
+    """(s, kept) of every sample in a pair above ``min_kin``: those with few relatives first; ties by lot."""
     edges = relatedness.where((F.col("kin") > min_kin) & ~F.isnan("kin") & (F.col("i") != F.col("j"))).select(F.col("i").alias("a"), F.col("j").alias("b"))
     both = edges.union(edges.select("b", "a")).distinct()
-    degree = both.groupBy("a").agg(F.count("*").alias("degree")).select(F.col("a").alias("node"), F.struct("degree", "a").alias("p"))
+    degree = both.groupBy("a").agg(F.count("*").alias("degree")).select(F.col("a").alias("node"), F.struct("degree", tie("a"), "a").alias("p"))
     return independent_set(edges, degree).withColumnRenamed("node", "s")
 
 
@@ -121,14 +132,18 @@ def ld_pairs(entries: DataFrame, variants: DataFrame, window_bp: int = 1_000_000
 
 
 def ld_prune(entries: DataFrame, variants: DataFrame, window_bp: int = 1_000_000, r2: float = 0.2) -> DataFrame:
-    """Variants of an independent set of the correlated pairs; the more frequent minor allele is kept first."""
+    """Variants of an independent set of the correlated pairs; the more frequent minor allele is kept first, ties by lot."""
     pairs = ld_pairs(entries, variants, window_bp, r2)
     freq = entries.where("gt is not null").groupBy("vid").agg((F.sum("gt").cast("double") / (2 * F.count("*"))).alias("p"))
-    rank = freq.select(F.col("vid").alias("node"), F.struct((-F.least("p", 1 - F.col("p"))).alias("maf"), "vid").alias("p"))
+    rank = freq.select(F.col("vid").alias("node"), F.struct((-F.least("p", 1 - F.col("p"))).alias("maf"), tie("vid"), "vid").alias("p"))
     kept = independent_set(pairs, rank).where("kept").select(F.col("node").alias("vid"))
     return variants.join(kept, "vid", "left_semi")
 
 
+def _arrow(entries: DataFrame) -> pa.DataType:
+    return to_arrow_type(entries.schema["sid"].dataType)
+
+
 def _sample_index(entries: DataFrame) -> list:
     return sorted(r[0] for r in bounded_rows(entries.select("sid").distinct(), MAX_SAMPLES, "samples of a dense matrix"))
 
@@ -138,16 +153,52 @@ def _rows_by_variant(entries: DataFrame) -> DataFrame:
     return entries.where("gt is not null").groupBy("vid").agg(F.collect_list(F.struct("sid", "gt")).alias("calls"))
 
 
-def _matrix(batch: pa.RecordBatch, at: dict) -> np.ndarray:
-    m = np.full((batch.num_rows, len(at)), np.nan)
+def _matrix(batch: pa.RecordBatch, sids: pa.Array) -> np.ndarray:
+    m = np.full((batch.num_rows, len(sids)), np.nan)
     calls = batch.column("calls")
     row = np.repeat(np.arange(batch.num_rows), np.diff(calls.offsets.to_numpy()))
     flat = calls.flatten()
-    sid = np.array([at[s] for s in flat.field("sid").to_pylist()], np.int64)
-    m[row, sid] = flat.field("gt").to_numpy(zero_copy_only=False)
+    m[row, pc.index_in(flat.field("sid"), value_set=sids).to_numpy()] = flat.field("gt").to_numpy(zero_copy_only=False)
     return m
 
 
+def _gram(rows: DataFrame, kernel: Callable[[pa.RecordBatch], list[np.ndarray]], n: int, count: int) -> list[np.ndarray]:
+    """Of each of ``count`` matrices (variants x samples) that ``kernel`` makes of a batch, the sum of M^T M over all batches.
+
+    A task adds up its own variants and hands on the upper tiles; a second step adds each tile up in one task.
+    """
+    cuts = list(range(0, n, TILE_SAMPLES)) + [n]
+    tiles = [(k, i, j) for k in range(count) for i in range(len(cuts) - 1) for j in range(i, len(cuts) - 1)]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if b.num_rows:
+                sums = [m.T @ m for m in kernel(b)]
+                total = sums if total is None else [t + s for t, s in zip(total, sums, strict=True)]
+        if total is not None:
+            for t, (k, i, j) in enumerate(tiles):
+                part = np.ascontiguousarray(total[k][cuts[i] : cuts[i + 1], cuts[j] : cuts[j + 1]])
+                yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["t", "g"])
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for t, g in zip(b.column("t").to_pylist(), b.column("g"), strict=True):
+                part = np.frombuffer(g.as_buffer())
+                held[t] = held[t] + part if t in held else part.copy()
+        for t, g in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([g.tobytes()], pa.binary())], ["t", "g"])
+
+    out = [np.zeros((n, n)) for _ in range(count)]
+    for r in rows.mapInArrow(add, "t int, g binary").repartitionById(len(tiles), F.col("t")).mapInArrow(unite, "t int, g binary").collect():  # at most MAX_SAMPLES^2 numbers
+        k, i, j = tiles[r["t"]]
+        part = np.frombuffer(r["g"]).reshape(cuts[i + 1] - cuts[i], -1)
+        out[k][cuts[i] : cuts[i + 1], cuts[j] : cuts[j + 1]] = part
+        out[k][cuts[j] : cuts[j + 1], cuts[i] : cuts[i + 1]] = part.T
+    return out
+
+
 def _standardised(m: np.ndarray) -> np.ndarray:
     """(g - 2p) / sqrt(2p(1-p)); missing calls and constant variants become 0."""
     p = np.nanmean(m, 1, keepdims=True) / 2
@@ -165,35 +216,23 @@ def pca(entries: DataFrame, k: int = 10) -> tuple[DataFrame, np.ndarray, DataFra
     """
     spark = entries.sparkSession
     sids = _sample_index(entries)
-    at = {s: i for i, s in enumerate(sids)}
+    known = pa.array(sids, _arrow(entries))
     rows = materialize(_rows_by_variant(entries))
-
-    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros((len(at), len(at))), 0
-        for b in batches:
-            if b.num_rows:
-                z = _standardised(_matrix(b, at))
-                total += z.T @ z
-                n += int((np.abs(z).sum(1) > 0).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], ["g", "n"])
-
-    parts = rows.mapInArrow(gram, "g binary, n long").toLocalIterator()
-    total, n = np.zeros((len(sids), len(sids))), 0
-    for r in parts:
-        total += np.frombuffer(r["g"]).reshape(total.shape)
-        n += r["n"]
+    # constant variants count for nothing
+    n = entries.where("gt is not null").groupBy("vid").agg(F.min("gt").alias("a"), F.max("gt").alias("b")).where("a < b").count()
+    (total,) = _gram(rows, lambda b: [_standardised(_matrix(b, known))], len(sids), 1)
     k = min(k, len(sids))
     values, vectors = np.linalg.eigh(total / max(1, n))
     values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
     vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(0), np.arange(k)])
     scores = vectors * np.sqrt(np.maximum(values, 0))
-    score_df = spark.createDataFrame([(s, [float(x) for x in scores[i]]) for s, i in at.items()], ["sid", "scores"])
+    score_df = spark.createDataFrame([(s, [float(x) for x in scores[i]]) for i, s in enumerate(sids)], f"sid {entries.schema['sid'].dataType.simpleString()}, scores array<double>")
     weight = vectors / np.sqrt(np.maximum(values, 1e-300) * max(1, n))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                m = _matrix(b, at)
+                m = _matrix(b, known)
                 loading = _standardised(m) @ weight
                 yield pa.RecordBatch.from_arrays([b.column("vid"), pa.array(np.nanmean(m, 1) / 2), pa.array(list(loading), pa.list_(pa.float64()))], ["vid", "af", "loadings"])
 
@@ -218,9 +257,9 @@ def pc_relate(entries: DataFrame, scores: DataFrame, min_kinship: float = 0.05,
     """
     spark = entries.sparkSession
     sids = _sample_index(entries)
-    at = {s: i for i, s in enumerate(sids)}
+    known = pa.array(sids, _arrow(entries))
     pcs = {r["sid"]: r["scores"] for r in bounded_rows(scores, MAX_SAMPLES, "scores")}
-    design = np.column_stack([np.ones(len(sids)), np.array([pcs[s] for s in sids], float)])
+    design = np.column_stack([np.ones(len(sids)), np.array([pcs[s] for s in sids], float).reshape(len(sids), -1)])
     hat = design @ np.linalg.pinv(design)
     n = len(sids)
 
@@ -230,44 +269,23 @@ def pc_relate(entries: DataFrame, scores: DataFrame, min_kinship: float = 0.05,
         ok = ~np.isnan(m) & (np.minimum(mu, 1 - mu) >= min_individual_maf)
         return np.where(ok, m, 0.0), mu, ok
 
-    def kin_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        num, den = np.zeros((n, n)), np.zeros((n, n))
-        for b in batches:
-            if b.num_rows:
-                g, mu, ok = fitted(_matrix(b, at))
-                r = np.where(ok, g - 2 * mu, 0.0)
-                s = np.where(ok, np.sqrt(mu * (1 - mu)), 0.0)
-                num += r.T @ r
-                den += s.T @ s
-        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (num, den)], ["num", "den"])
+    def kinship(b: pa.RecordBatch) -> list[np.ndarray]:
+        g, mu, ok = fitted(_matrix(b, known))
+        return [np.where(ok, g - 2 * mu, 0.0), np.where(ok, np.sqrt(mu * (1 - mu)), 0.0)]
 
     rows = materialize(_rows_by_variant(entries))
-
-    def summed(kernel) -> tuple[np.ndarray, np.ndarray]:
-        num, den = np.zeros((n, n)), np.zeros((n, n))
-        for r in rows.mapInArrow(kernel, "num binary, den binary").toLocalIterator():
-            num += np.frombuffer(r["num"]).reshape(n, n)
-            den += np.frombuffer(r["den"]).reshape(n, n)
-        return num, den
-
-    num, den = summed(kin_sums)
+    num, den = _gram(rows, kinship, n, 2)
     with np.errstate(invalid="ignore", divide="ignore"):
         kin = num / (4 * den)
     inbreeding = 2 * np.nan_to_num(np.diag(kin)) - 1
 
-    def ibd2_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        num, den = np.zeros((n, n)), np.zeros((n, n))
-        for b in batches:
-            if b.num_rows:
-                g, mu, ok = fitted(_matrix(b, at))
-                v = mu * (1 - mu)
-                dominance = np.where(g == 0, mu, np.where(g == 1, 0.0, 1 - mu)) - v * (1 + inbreeding)
-                d, w = np.where(ok, dominance, 0.0), np.where(ok, v, 0.0)
-                num += d.T @ d
-                den += w.T @ w
-        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (num, den)], ["num", "den"])
-
-    num, den = summed(ibd2_sums)
+    def both(b: pa.RecordBatch) -> list[np.ndarray]:
+        g, mu, ok = fitted(_matrix(b, known))
+        v = mu * (1 - mu)
+        dominance = np.where(g == 0, mu, np.where(g == 1, 0.0, 1 - mu)) - v * (1 + inbreeding)
+        return [np.where(ok, dominance, 0.0), np.where(ok, v, 0.0)]
+
+    num, den = _gram(rows, both, n, 2)
     with np.errstate(invalid="ignore", divide="ignore"):
         ibd2 = num / den
     release(rows)

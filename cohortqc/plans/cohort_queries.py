@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from cohortqc.functions import genetics as G
 from cohortqc.operators import aggregates as A
 from cohortqc.operators import family, filters, grid, joins, ranks, tiers
+from cohortqc.plans import plotdata
 from cohortqc.plans.testcohort import WITH, Cohort, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 METRICS = ("n_het", "n_hom_var", "n_snp", "n_insertion", "n_deletion", "r_ti_tv", "r_insertion_deletion", "r_het_hom_var", "heterozygosity_rate")
-GRID = {"bins": (40, 70, 90), "dps": (40, 70), "gqs": (50, 60), "abs_": (0.2, 0.4), "call_rates": (0.1, 0.3)}
+GRID = {"bins": (20, 30, 40, 50, 60, 70, 80, 90), "dps": (40, 70), "gqs": (50, 60), "abs_": (0.2, 0.4), "call_rates": (0.1, 0.3)}
 
 # the same predicates in SQL
 _SNP = "(length(ref) = 1 AND length(alt) = 1 AND ref <> alt)"
@@ -40,13 +41,18 @@ _MAD = f"""{_SQC}, long AS (
   SELECT * FROM (SELECT sqc.sid, pop, unnest([{', '.join(f"'{m}'" for m in METRICS)}]) AS metric, unnest([{', '.join(f'CAST({m} AS DOUBLE)' for m in METRICS)}]) AS value FROM sqc JOIN smp ON smp.sid = sqc.sid) q),
 med AS (SELECT pop, metric, median(value) AS median FROM long GROUP BY ALL),
 bounds AS (SELECT pop, metric, any_value(median) AS median, 1.4826::DOUBLE * median(abs(value - median)) AS mad FROM long JOIN med USING (pop, metric) GROUP BY ALL)"""
-_TRIO = """tr AS (
+# one copy in sons, outside the pseudo-autosomal regions
+_LOCUS = """CASE WHEN contig = 'chrX' AND NOT (pos BETWEEN 10001 AND 2781479 OR pos BETWEEN 155701383 AND 156030895) THEN 'X'
+  WHEN contig = 'chrY' AND NOT (pos BETWEEN 10001 AND 2781479 OR pos BETWEEN 56887903 AND 57217415) THEN 'Y' END"""
+_TRIO = f"""tr AS (
   SELECT t.fam_id, t.kid, t.dad, t.mom, v.vid, k.gt AS kid_gt, d.gt AS dad_gt, m.gt AS mom_gt, k.dp AS kid_dp, d.dp AS dad_dp, m.dp AS mom_dp, k.gq AS kid_gq, d.gq AS dad_gq, m.gq AS mom_gq,
-    k.ad_alt AS kid_ad, d.ad_alt AS dad_ad, m.ad_alt AS mom_ad
-  FROM trios t CROSS JOIN (SELECT vid FROM vars) v LEFT JOIN ents k ON k.vid = v.vid AND k.sid = t.kid LEFT JOIN ents d ON d.vid = v.vid AND d.sid = t.dad LEFT JOIN ents m ON m.vid = v.vid AND m.sid = t.mom
+    k.ad_alt AS kid_ad, d.ad_alt AS dad_ad, m.ad_alt AS mom_ad, v.hap, t.is_female
+  FROM trios t CROSS JOIN (SELECT vid, {_LOCUS} AS hap FROM vars) v LEFT JOIN ents k ON k.vid = v.vid AND k.sid = t.kid LEFT JOIN ents d ON d.vid = v.vid AND d.sid = t.dad LEFT JOIN ents m ON m.vid = v.vid AND m.sid = t.mom
   WHERE k.vid IS NOT NULL OR d.vid IS NOT NULL OR m.vid IS NOT NULL)"""
-_CODE = """CASE WHEN kid_gt = 1 AND dad_gt = 2 AND mom_gt = 2 THEN 1 WHEN kid_gt = 1 AND dad_gt = 0 AND mom_gt = 0 THEN 2 WHEN kid_gt = 2 AND dad_gt = 0 AND mom_gt = 0 THEN 5
+_AUTO_CODE = """CASE WHEN kid_gt = 1 AND dad_gt = 2 AND mom_gt = 2 THEN 1 WHEN kid_gt = 1 AND dad_gt = 0 AND mom_gt = 0 THEN 2 WHEN kid_gt = 2 AND dad_gt = 0 AND mom_gt = 0 THEN 5
   WHEN kid_gt = 2 AND dad_gt = 0 THEN 3 WHEN kid_gt = 2 AND mom_gt = 0 THEN 4 WHEN kid_gt = 0 AND dad_gt = 2 AND mom_gt = 2 THEN 8 WHEN kid_gt = 0 AND dad_gt = 2 THEN 6 WHEN kid_gt = 0 AND mom_gt = 2 THEN 7 END"""
+_CODE = f"""CASE WHEN hap = 'X' AND NOT is_female THEN CASE WHEN kid_gt = 0 AND mom_gt = 2 THEN 9 WHEN kid_gt = 2 AND mom_gt = 0 THEN 10 END
+  WHEN hap = 'Y' AND NOT is_female THEN CASE WHEN kid_gt = 0 AND dad_gt = 2 THEN 11 WHEN kid_gt = 2 AND dad_gt = 0 THEN 12 END ELSE {_AUTO_CODE} END"""
 _ERR = f"err AS (SELECT * FROM (SELECT *, {_CODE} AS code FROM tr) q WHERE code IS NOT NULL)"
 _TU = """tu AS (
   SELECT *, CASE WHEN het > 0 AND raw_t BETWEEN 0 AND het THEN raw_t END AS t, CASE WHEN het > 0 AND raw_t BETWEEN 0 AND het THEN het - raw_t END AS u
@@ -54,6 +60,12 @@ _TU = """tu AS (
     kid_gt - CASE WHEN dad_gt = 2 THEN 1 WHEN dad_gt IS NOT NULL THEN 0 END - CASE WHEN mom_gt = 2 THEN 1 WHEN mom_gt IS NOT NULL THEN 0 END AS raw_t FROM tr) q)"""
 
 
+_HWE = """hk AS (SELECT DISTINCT n_hom_ref, n_het, n_hom_var, n_hom_ref + n_het + n_hom_var AS hn, 2 * least(n_hom_ref, n_hom_var) + n_het AS rare FROM vc),
+hl AS (SELECT *, het * ln(2) - lgamma((rare - het) // 2 + 1) - lgamma(het + 1) - lgamma(hn - het - (rare - het) // 2 + 1) AS lp FROM (SELECT *, unnest(range(rare % 2, rare + 1, 2)) AS het FROM hk WHERE hn > 0)),
+hp AS (SELECT *, exp(lp - max(lp) OVER w) AS p, max(CASE WHEN het = n_het THEN lp END) OVER w - max(lp) OVER w AS ls FROM hl WINDOW w AS (PARTITION BY n_hom_ref, n_het, n_hom_var)),
+hwe AS (SELECT n_hom_ref, n_het, n_hom_var, least(1.0, (coalesce(sum(p) FILTER (WHERE p < exp(ls) * (1 - 1e-9::DOUBLE)), 0) + sum(p) FILTER (WHERE abs(p - exp(ls)) <= exp(ls) * 1e-9::DOUBLE) / 2) / sum(p)) AS p_hwe FROM hp GROUP BY ALL)"""
+
+
 def query(sql: str | None = None):
     def add(f: Callable[[SparkSession, Cohort], DataFrame]):
         QUERIES[f.__name__] = lambda spark, sf: f(spark, load(spark, sf))
@@ -74,9 +86,8 @@ def variant_qc_counts(spark, c):
     return A.variant_counts(c.entries, _n(c))
 
 
-@query()
+@query(f"{WITH}, {_VC}, {_HWE} SELECT vid, n_hom_ref, n_het, n_hom_var, round(p_hwe, 9) AS p_hwe FROM vc JOIN hwe USING (n_hom_ref, n_het, n_hom_var)")
 def hwe_p(spark, c):
-    """Rows only: the exact test has no SQL form."""
     return A.variant_qc(c.entries, _n(c)).select("vid", "n_hom_ref", "n_het", "n_hom_var", F.round("p_hwe", 9).alias("p_hwe"))
 
 
@@ -105,17 +116,22 @@ def autosomal_snv_filter(spark, c):
     return filters.autosomal_snvs(c.variants, drop_split=True).select("vid")
 
 
+@query(f"{WITH} SELECT vid FROM vars WHERE {_AUTO} AND {_SNP}")
+def autosomal_snvs_with_split(spark, c):
+    return filters.autosomal_snvs(c.variants).select("vid")
+
+
 @query(f"{WITH} SELECT vid, ref, alt FROM vars WHERE ref || alt NOT IN ('GC', 'CG', 'AT', 'TA')")
 def palindrome_filter(spark, c):
     return filters.without_palindromes(c.variants).select("vid", "ref", "alt")
 
 
 @query(
-    f"{WITH}, {_VC} SELECT vid FROM vars JOIN vc USING (vid) WHERE {_AUTO} AND {_SNP} AND call_rate >= 0.5 AND af >= 0.05 AND ref || alt NOT IN ('GC', 'CG', 'AT', 'TA')"
+    f"{WITH}, {_VC}, {_HWE} SELECT vid FROM vars JOIN vc USING (vid) JOIN hwe USING (n_hom_ref, n_het, n_hom_var) WHERE {_AUTO} AND {_SNP} AND call_rate >= 0.5 AND af >= 0.05 AND p_hwe >= 0.05 AND ref || alt NOT IN ('GC', 'CG', 'AT', 'TA')"
     " AND NOT EXISTS (SELECT 1 FROM ivals i WHERE i.contig = vars.contig AND pos - 1 >= i.start AND pos - 1 < i.stop)"
 )
 def ld_prune_prefilter(spark, c):
-    return filters.ld_prune_candidates(c.variants, A.variant_qc(c.entries, _n(c)), c.intervals, call_rate=0.5, af=0.05, p_hwe=0.0).select("vid")
+    return filters.ld_prune_candidates(c.variants, A.variant_qc(c.entries, _n(c)), c.intervals, call_rate=0.5, af=0.05, p_hwe=0.05).select("vid")
 
 
 @query(f"{WITH} SELECT vid, sid FROM ents WHERE dp > 60 AND gq > 50 AND (gt <> 1 OR ({_AB}) > 0.3)")
@@ -179,7 +195,7 @@ def truth_full_outer(spark, c):
 
 @query(f"{WITH} SELECT vid, sid FROM ents WHERE sid IN (SELECT sid FROM smp WHERE pop = 'ASIA')")
 def semi_join_samples(spark, c):
-    return c.entries.select("vid", "sid").join(c.samples.where("pop = 'ASIA'").select("sid"), "sid", "left_semi")
+    return filters.in_set(c.entries.select("vid", "sid"), c.samples.where("pop = 'ASIA'"), "sid")
 
 
 @query(f"{WITH} SELECT vid, sid FROM ents WHERE sid NOT IN (SELECT sid FROM smp WHERE pop = 'ASIA')")
@@ -202,13 +218,6 @@ def trio_join(spark, c):
     return joins.trio_entries(c.entries, c.trios).select("vid", "fam_id", "kid_gt", "dad_gt", "mom_gt")
 
 
-@query(f"{WITH}, a AS (SELECT * FROM ents WHERE sid < 10 AND vid % 2 = 0), b AS (SELECT * FROM ents WHERE sid >= 10 AND vid % 3 = 0), k AS (SELECT vid FROM a INTERSECT SELECT vid FROM b) SELECT vid, sid, gt FROM (SELECT * FROM a UNION ALL SELECT * FROM b) u WHERE vid IN (SELECT vid FROM k)")
-def union_cols_common(spark, c):
-    """Two cohorts of which each lacks variants of the other."""
-    one, two = c.entries.where("sid < 10 and vid % 2 = 0"), c.entries.where("sid >= 10 and vid % 3 = 0")
-    return joins.union_cols(one, two).select("vid", "sid", "gt")
-
-
 @query(f"{WITH}, asia AS (SELECT sid FROM smp WHERE pop = 'ASIA'), k AS (SELECT vid FROM ents WHERE sid IN (SELECT sid FROM asia) INTERSECT SELECT vid FROM ents WHERE sid NOT IN (SELECT sid FROM asia)) SELECT vid, sid, gt FROM ents WHERE vid IN (SELECT vid FROM k)")
 def union_cols_populations(spark, c):
     """Two cohorts by population, all entries of each; the smaller lacks variants of the other because calls are missing."""
@@ -395,6 +404,75 @@ def bin_cumulative(spark, c):
     return ranks.ratio_curve(ranks.coarser(_bins(c)), "rank_id", "bin", "n_ti", "n_tv")
 
 
+# annotations that a cohort gets from its families and truth sets, made up from the identifier
+_ANN = {
+    "p_de_novo": "CASE WHEN vid % 7 < 3 THEN CAST(vid % 101 AS DOUBLE) / 101 END", "confidence": "CASE vid % 5 WHEN 0 THEN 'HIGH' WHEN 1 THEN 'LOW' END", "t": "CAST(vid % 4 AS BIGINT)", "u": "CAST(vid % 3 AS BIGINT)",
+    "mendel_errors": "CAST(vid % 2 AS BIGINT)", "unrelated_ac": "CAST(vid % 3 AS BIGINT)", "ac_raw": "CAST(vid % 5 AS BIGINT)", "population_af": "CASE WHEN vid % 6 <> 0 THEN CAST(vid % 10 AS DOUBLE) / 20 END",
+    "variant_transmitted_singletons": "CAST(vid % 2 AS BIGINT)", "variant_untransmitted_singletons": "CAST(vid % 3 AS BIGINT)", "omni": "tp", "mills": "vid % 7 = 0", "hapmap": "vid % 8 = 0", "kgp_phase1_hc": "CASE WHEN vid % 9 = 0 THEN true END",
+    "fail_hard_filters": "qd < 2 OR fs > 60 OR mq < 30",
+}
+_COND = {
+    "singleton_rank": "transmitted_singleton", "biallelic_rank": "NOT was_split", "biallelic_singleton_rank": "NOT was_split AND transmitted_singleton", "de_novo_high_quality_rank": "p_de_novo > 0.9", "de_novo_medium_quality_rank": "p_de_novo > 0.5",
+    "de_novo_synonymous_rank": "consequence = 'synonymous_variant'",
+}
+_AL = ["rank", *_COND]
+_ALL_RANKS = f"""an AS (SELECT *, {', '.join(f'{x} AS {n}' for n, x in _ANN.items())} FROM vars), ar AS (SELECT *, {_SNP} AS is_snv, row_number() OVER (PARTITION BY {_SNP} ORDER BY score, vid) - 1 AS rank,
+  {', '.join(f"CASE WHEN {x} THEN count(*) FILTER (WHERE {x}) OVER (PARTITION BY {_SNP} ORDER BY score, vid ROWS UNBOUNDED PRECEDING) - 1 END AS {n}" for n, x in _COND.items())} FROM an),
+al AS (SELECT * FROM (SELECT *, unnest([{', '.join(repr(n) for n in _AL)}]) AS rank_id, unnest([{', '.join(_AL)}]) AS r FROM ar) q WHERE r IS NOT NULL),
+ab AS (SELECT * FROM (SELECT *, CAST(ceil((r + 1) / nullif(floor(count(*) OVER (PARTITION BY rank_id, is_snv) / 100), 0)) AS INTEGER) AS bin FROM al) q WHERE bin IS NOT NULL)"""
+
+
+def _all_bins(c: Cohort) -> DataFrame:
+    v = c.variants.withColumns({n: F.expr(x) for n, x in _ANN.items()})
+    return ranks.binned(ranks.add_ranks(v, "score", ranks.subrank_flags()), _AL)
+
+
+@query(f"{WITH}, {_ALL_RANKS} SELECT vid, is_snv, {', '.join(_AL)} FROM ar")
+def rank_all_subranks(spark, c):
+    return ranks.add_ranks(c.variants.withColumns({n: F.expr(x) for n, x in _ANN.items()}), "score", ranks.subrank_flags()).select("vid", "is_snv", *_AL)
+
+
+def _measures_sql() -> str:
+    syn, single = "consequence = 'synonymous_variant'", "ac_raw < 3 AND unrelated_ac = 1"
+    count = lambda n, x: f"count(*) FILTER (WHERE {x}) AS {n}"
+    total = lambda n, v, x: f"CAST(coalesce(sum({v}) FILTER (WHERE {x}), 0) AS BIGINT) AS {n}"
+    return ", ".join([
+        "min(score) AS min_score, max(score) AS max_score, count(*) AS n", count("n_ins", _INS), count("n_del", _DEL), count("n_ti", _TI), count("n_tv", f"{_SNP} AND NOT {_TI}"), count("n_1bp_indel", "abs(length(ref) - length(alt)) = 1"),
+        count("n_mod3bp_indel", "abs(length(ref) - length(alt)) % 3 = 0"), count("n_singleton", "transmitted_singleton"), count("n_high_quality_de_novos", "p_de_novo > 0.99"), count("n_medium_quality_de_novos", "p_de_novo > 0.5"),
+        count("n_high_confidence_de_novos", "confidence = 'HIGH'"), total("n_de_novo", "mendel_errors", "unrelated_ac = 0"), count("n_high_quality_de_novos_synonymous", f"p_de_novo > 0.99 AND {syn}"),
+        count("n_trans_singletons_synonymous_algorithm", "variant_transmitted_singletons = 1"), count("n_untrans_singletons_synonymous_algorithm", "variant_untransmitted_singletons = 1"), count("n_de_novo_sites", "unrelated_ac = 0 AND mendel_errors > 0"),
+        total("n_trans_singletons", "t", single), total("n_untrans_singletons", "u", single), total("n_trans_singletons_synonymous", "t", f"{single} AND {syn}"), total("n_untrans_singletons_synonymous", "u", f"{single} AND {syn}"),
+        count("n_train_trans_singletons", "unrelated_ac = 1 AND t = 1"), total("n_trans_common", "t", "population_af >= 0.1"), total("n_untrans_common", "u", "population_af >= 0.1"), count("n_trans_singletons_synonymous_tdt", f"{syn} AND t = 1 AND u = 0"),
+        count("n_untrans_singletons_synonymous_tdt", f"{syn} AND t = 0 AND u = 1"), count("n_omni", "omni"), count("n_mills", "mills"), count("n_hapmap", "hapmap"), count("n_kgp_high_conf_snvs", "kgp_phase1_hc"),
+        count("fail_hard_filters", "fail_hard_filters"), count("fail_hard_filters_snvs", f"fail_hard_filters AND {_SNP}"), count("fail_hard_filters_indels", f"fail_hard_filters AND ({_INS} OR {_DEL})"),
+    ])
+
+
+_ALL_BINS = f"""{_ALL_RANKS}, am AS (SELECT rank_id, contig, is_snv AS snv, biallelic_rank IS NOT NULL AS bi_allelic, transmitted_singleton AS singleton, singleton_rank IS NOT NULL AS trans_singletons,
+  de_novo_high_quality_rank IS NOT NULL AS de_novo_high_quality, de_novo_medium_quality_rank IS NOT NULL AS de_novo_medium_quality, de_novo_synonymous_rank IS NOT NULL AS de_novo_synonymous, bin, {_measures_sql()} FROM ab GROUP BY ALL)"""
+
+
+@query(f"{WITH}, {_ALL_BINS} SELECT * FROM am")
+def bin_aggregate_all(spark, c):
+    """All measures per all ten keys."""
+    return ranks.bin_aggregate(_all_bins(c))
+
+
+def _curves_sql() -> str:
+    part = lambda n, d, x: f"CAST({n}{x} AS DOUBLE) / nullif({d}{x}, 0)" if d else f"CAST({n}{x} AS DOUBLE)"
+    need = sorted({x for n, d in plotdata.BIN_CURVES.values() for x in (n, d) if x})
+    per = f"pb AS (SELECT rank_id, snv, bin, {', '.join(f'CAST(sum({x}) AS BIGINT) AS {x}' for x in need)} FROM am GROUP BY ALL)"
+    up = f"pu AS (SELECT *, {', '.join(f'sum({x}) OVER w AS {x}_up' for x in need)} FROM pb WINDOW w AS (PARTITION BY rank_id, snv ORDER BY bin))"
+    each = " UNION ALL ".join(f"SELECT '{m}' AS metric, rank_id, snv, bin, round({part(n, d, '')}, 9) AS value, round({part(n, d, '_up')}, 9) AS cumulative, n FROM pu" for m, (n, d) in plotdata.BIN_CURVES.items())
+    return f"{per}, {up} {each}"
+
+
+@query(f"{WITH}, {_ALL_BINS}, {_curves_sql()}")
+def bin_curves(spark, c):
+    """All sixteen curves over the bins."""
+    return plotdata.bin_curves(ranks.bin_aggregate(_all_bins(c))).withColumns({x: F.round(x, 9) for x in ("value", "cumulative")})
+
+
 _T = ranks.threshold_range(60)
 
 
@@ -410,17 +488,17 @@ def _trio(c: Cohort, fields=("gt",)) -> DataFrame:
 
 @query(f"{WITH}, {_TRIO}, {_ERR} SELECT vid, count(*) AS errors FROM err GROUP BY vid")
 def mendel_per_variant(spark, c):
-    return family.mendel_per_variant(family.mendel_errors(_trio(c)))
+    return family.mendel_per_variant(family.mendel_errors(family.with_haploid(_trio(c), c.variants, c.trios)))
 
 
-@query(f"{WITH}, {_TRIO}, {_ERR} SELECT sid, count(*) AS errors FROM (SELECT kid AS sid FROM err UNION ALL SELECT dad FROM err WHERE code IN (1, 2, 3, 6) UNION ALL SELECT mom FROM err WHERE code IN (1, 2, 4, 7)) GROUP BY sid")
+@query(f"{WITH}, {_TRIO}, {_ERR} SELECT sid, count(*) AS errors FROM (SELECT kid AS sid FROM err UNION ALL SELECT dad FROM err WHERE code IN (1, 2, 3, 6, 11, 12) UNION ALL SELECT mom FROM err WHERE code IN (1, 2, 4, 7, 9, 10)) GROUP BY sid")
 def mendel_per_sample(spark, c):
-    return family.mendel_per_sample(family.mendel_errors(_trio(c)))
+    return family.mendel_per_sample(family.mendel_errors(family.with_haploid(_trio(c), c.variants, c.trios)))
 
 
 @query(f"{WITH}, {_TRIO}, {_ERR}, r AS (SELECT CAST((SELECT count(*) FROM err WHERE err.kid = trios.kid) AS DOUBLE) / (SELECT count(*) FROM vars) AS r FROM trios) SELECT round(avg(r), 9) AS mendelian_error_mean, round(stddev_pop(r), 9) AS mendelian_error_std FROM r")
 def mendel_proband_rate(spark, c):
-    r = family.proband_error_rate(_trio(c), c.trios, c.variants.count())
+    r = family.proband_error_rate(family.with_haploid(_trio(c), c.variants, c.trios), c.trios, c.variants.count())
     return r.select(*[F.round(x, 9).alias(x) for x in r.columns])
 
 
@@ -429,10 +507,17 @@ def tdt_counts(spark, c):
     return family.tdt(_trio(c), p_value=False)
 
 
-@query()
+# 1 - erf(sqrt(x / 2)) as a power series, which is exact enough for the few trios here
+_TAIL = "1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 120), lambda k: power(-1.0::DOUBLE, k) * exp((2 * k + 1) * ln(sqrt(chi_sq / 2)) - lgamma(k + 1)) / (2 * k + 1)))"
+
+
+@query(
+    f"""{WITH}, {_TRIO}, {_TU}, s AS (SELECT vid, CAST(coalesce(sum(t), 0) AS BIGINT) AS t, CAST(coalesce(sum(u), 0) AS BIGINT) AS u FROM tu GROUP BY vid), c AS (SELECT vid, t, u, CAST((t - u) * (t - u) AS DOUBLE) / nullif(t + u, 0) AS chi_sq FROM s)
+  SELECT *, round(CASE WHEN chi_sq = 0 THEN 1.0 WHEN chi_sq > 0 THEN {_TAIL} END, 9) AS p_value FROM c"""
+)
 def tdt_p(spark, c):
-    """Rows only: the chi-square tail has no SQL form."""
-    return family.tdt(_trio(c))
+    p = F.nanvl("p_value", F.lit(None).cast("double"))
+    return family.tdt(_trio(c)).withColumn("p_value", F.round(p, 9))
 
 
 def _trio_stats_sql() -> str:
@@ -537,7 +622,7 @@ def consequence_by_tier(spark, c):
 
 
 _GRID_SQL = """g AS (SELECT *, CAST(row_number() OVER (ORDER BY bin, pdp, pgq, pab, pcr) AS INTEGER) AS pid, printf('bin_%03d_DP_%02d_GQ_%02d_AB_%.2f_missing_%.2f', bin, pdp, pgq, pab, pcr) AS point FROM
-  (SELECT unnest([40, 70, 90]) AS bin), (SELECT unnest([40, 70]) AS pdp), (SELECT unnest([50, 60]) AS pgq), (SELECT unnest([0.2::DOUBLE, 0.4::DOUBLE]) AS pab), (SELECT unnest([0.1::DOUBLE, 0.3::DOUBLE]) AS pcr))"""
+  (SELECT unnest([20, 30, 40, 50, 60, 70, 80, 90]) AS bin), (SELECT unnest([40, 70]) AS pdp), (SELECT unnest([50, 60]) AS pgq), (SELECT unnest([0.2::DOUBLE, 0.4::DOUBLE]) AS pab), (SELECT unnest([0.1::DOUBLE, 0.3::DOUBLE]) AS pcr))"""
 _PASSES = f"NOT ((gt = 1 AND ({_AB}) < pab) OR dp < pdp OR gq < pgq)"
 _KEPT = f"""{_GRID_SQL}, ev AS (SELECT e.*, rf_bin FROM ents e JOIN vars USING (vid)), kp AS (SELECT point, vid FROM ev JOIN g ON rf_bin <= bin AND {_PASSES} GROUP BY point, vid, pcr HAVING CAST(count(*) AS DOUBLE) / 25 > pcr AND sum(gt) > 0)"""
 
@@ -557,7 +642,7 @@ def hard_filter_grid(spark, c):
 
 @query(
     f"""{WITH}, {_KEPT}, pe AS (SELECT point, vid, sid, gt FROM ents JOIN g ON {_PASSES} WHERE sid <= 23), tr AS (
-  SELECT k.point, k.vid, t.kid, k.gt AS kid_gt, d.gt AS dad_gt, m.gt AS mom_gt FROM trios t JOIN pe k ON k.sid = t.kid LEFT JOIN pe d ON d.point = k.point AND d.vid = k.vid AND d.sid = t.dad
+  SELECT k.point, k.vid, t.kid, k.gt AS kid_gt, d.gt AS dad_gt, m.gt AS mom_gt, t.is_female, lc.hap FROM trios t JOIN pe k ON k.sid = t.kid JOIN (SELECT vid, {_LOCUS} AS hap FROM vars) lc ON lc.vid = k.vid LEFT JOIN pe d ON d.point = k.point AND d.vid = k.vid AND d.sid = t.dad
   LEFT JOIN pe m ON m.point = k.point AND m.vid = k.vid AND m.sid = t.mom),
   er AS (SELECT tr.point, kid, count(*) AS errors FROM tr JOIN kp ON kp.point = tr.point AND kp.vid = tr.vid WHERE ({_CODE}) IS NOT NULL GROUP BY ALL), nv AS (SELECT point, count(*) AS n FROM kp GROUP BY point),
   rt AS (SELECT g.point, CAST(coalesce(er.errors, 0) AS DOUBLE) / nullif(nv.n, 0) AS r FROM g CROSS JOIN trios t LEFT JOIN er ON er.point = g.point AND er.kid = t.kid LEFT JOIN nv ON nv.point = g.point)
@@ -565,7 +650,7 @@ def hard_filter_grid(spark, c):
 )
 def grid_mendel(spark, c):
     g, kept = _grid(spark, c)
-    m = grid.mendel(c.entries, c.trios, kept, g)
+    m = grid.mendel(c.entries, c.trios, kept, g, c.variants)
     return m.select("point", F.round("mendelian_error_mean", 9).alias("mendelian_error_mean"), F.round("mendelian_error_std", 9).alias("mendelian_error_std"))
 
 

@@ -96,10 +96,11 @@ def split_cohort(sites: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataF
     return rows.join(seen.drop("n_non_ref"), ["site", "a_index"]), e.join(seen.select("site", "a_index"), ["site", "a_index"], "left_semi")
 
 
-def family_tables(entries: DataFrame, pedigree: DataFrame) -> dict[str, DataFrame]:
+def family_tables(entries: DataFrame, pedigree: DataFrame, variants: DataFrame | None = None) -> dict[str, DataFrame]:
+    """``variants`` (vid, contig, pos): for the sex chromosomes, of which sons have one copy."""
     trios = trios_of(pedigree)
     trio = joins.trio_entries(entries, trios, ("gt", "gq", "dp", "ad_alt"))
-    errors = family.mendel_errors(trio)
+    errors = family.mendel_errors(trio if variants is None else family.with_haploid(trio, variants, trios))
     children = pedigree.select(F.col("s").alias("sid"))
     unrelated = A.call_stats(entries.join(children, "sid", "left_anti"))  # whoever is listed as a child is related
     return {"trio_stats": family.trio_stats(trio), "mendel": family.mendel_per_variant(errors), "tdt": family.tdt(trio), "unrelated": unrelated}
@@ -129,8 +130,8 @@ def train_forest(features_: DataFrame, features: Sequence[str], categorical: Seq
     return scored
 
 
-def rank_and_bin(scored: DataFrame, with_pedigree: bool, truth: DataFrame | None = None, bins: int = 100, high: float = 0.9, medium: float = 0.5) -> tuple[DataFrame, DataFrame]:
-    """The exploded table of ranks and the aggregate per bin."""
+def rank_and_bin(scored: DataFrame, with_pedigree: bool, truth: DataFrame | None = None, bins: int = 100, high: float = 0.9, medium: float = 0.5, **limits: float) -> tuple[DataFrame, DataFrame]:
+    """The exploded table of ranks and the aggregate per bin. ``limits``: those of ranks.bin_measures."""
     flags = ranks.subrank_flags(with_pedigree, high, medium)
     if "p_de_novo" not in scored.columns:
         scored = scored.withColumn("p_de_novo", F.lit(None).cast("double"))
@@ -138,7 +139,7 @@ def rank_and_bin(scored: DataFrame, with_pedigree: bool, truth: DataFrame | None
     if truth is not None:
         ranked = joins.annotate(ranked, truth, ["vid"], [c for c in truth.columns if c != "vid"])
     long_ = ranks.binned(ranked, ["rank", *flags], bins)
-    return long_, ranks.bin_aggregate(long_)
+    return long_, ranks.bin_aggregate(long_, **limits)
 
 
 def filter_variants(entries: DataFrame, variants: DataFrame, ranked: DataFrame, snv_bin: int, indel_bin: int) -> tuple[DataFrame, DataFrame]:
@@ -167,7 +168,7 @@ def evaluate_grid(entries: DataFrame, variants: DataFrame, g: DataFrame, n_sampl
     kept = grid.surviving(e, v, g, n_samples)
     out = grid.tp_fp(kept, v, g)
     missing = lambda names, value: out.withColumns({n: F.lit(value) for n in names})
-    out = out.join(grid.mendel(e, trios, kept, g), "point", "left") if trios is not None else missing(["mendelian_error_mean", "mendelian_error_std"], -1.0)
+    out = out.join(grid.mendel(e, trios, kept, g, v), "point", "left") if trios is not None else missing(["mendelian_error_mean", "mendelian_error_std"], -1.0)
     out = out.join(grid.transmission(e, trios, v, kept, g), "point", "left") if trios is not None and kind == "snv" else missing(["t_u_ratio"], -2.0)
     if control is None or control_sample is None:
         return grid.filter_metrics(missing(["prec", "recall"], -1.0), v)
