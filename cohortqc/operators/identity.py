@@ -37,15 +37,19 @@ def without_missing_arrays(mapping: DataFrame, arrays: DataFrame, column: str =
     return mapping.join(arrays.select(column).distinct(), column, "left_semi")
 
 
-def prepare_report(report: DataFrame, order: Sequence[str] = ("line_no",)) -> DataFrame:
+def prepare_report(report: DataFrame, order: Sequence[str] = ("line_no",), bad_scores: str = "raise") -> DataFrame:
     """The first line of each pair, with score = discordance / n_sites, or 1000 without sites.
 
-    A score that is still null, NaN or infinite raises when it is computed.
+    A score that is still null, NaN or infinite raises when it is computed; with ``bad_scores`` 'leave_out' the pair is left
+    out, whatever its later lines say. Lines without either id are no pair.
     """
+    report = report.where(F.col("data_sample").isNotNull() & F.col("microarray_sample").isNotNull())
     first = report.groupBy("data_sample", "microarray_sample").agg(F.min_by(F.struct("discordance", "n_sites", *order), F.struct(*order)).alias("r"))
     score = F.when(F.col("n_sites") == 0, NO_SITES_SCORE).otherwise(F.col("discordance") / F.nullif(F.col("n_sites"), F.lit(0)))
     bad = F.col("score").isNull() | F.isnan("score") | (F.abs("score") == float("inf"))
     rows = first.select("data_sample", "microarray_sample", "r.*").withColumn("score", score)
+    if bad_scores == "leave_out":
+        return rows.where(~bad)
     return rows.withColumn("score", F.when(bad, F.raise_error(F.lit("a score is not a number")).cast("double")).otherwise(F.col("score")))
 
 
@@ -55,7 +59,7 @@ def best_match(pairs: DataFrame, order: Sequence[str] = ("line_no",)) -> DataFra
     return best.select("data_sample", F.col("b.microarray_sample").alias("best_match_microarray_sample"), F.col("b.score").alias("best_match_microarray_score"))
 
 
-def validate(report: DataFrame, mapping: DataFrame, threshold: float = 0.2, order: Sequence[str] = ("line_no",)) -> DataFrame:
+def validate(report: DataFrame, mapping: DataFrame, threshold: float = 0.2, order: Sequence[str] = ("line_no",), bad_scores: str = "raise") -> DataFrame:
     """One row per data sample, or per mapped array where the best match is not one of them, with the tags of each
     check, comma-terminated and in their order, and whether the sample passed.
 
@@ -63,7 +67,7 @@ def validate(report: DataFrame, mapping: DataFrame, threshold: float = 0.2, orde
     unless the row is of one mapped array), score_from_mapped, restored_samples (the data samples that the mapping
     gives for the best match), validation_tags, is_validation_passed.
     """
-    pairs = prepare_report(report, order)
+    pairs = prepare_report(report, order, bad_scores)
     best = best_match(pairs, order)
     marked = mark_duplicates(mapping.select("data_sample", "microarray_sample"))
     by_sample = marked.groupBy("data_sample").agg(F.bool_or("duplicated_id_any").alias("duplicated"), F.lit(True).alias("in_map"))

@@ -67,9 +67,11 @@ def split_entries(entries: DataFrame, split: DataFrame, key: str = "site", recal
         out["ad"] = F.when(F.col("ad").isNotNull(), F.array((F.aggregate("ad", F.lit(0), lambda a, x: a + x) - this), this))
     if "pl" in entries.columns:
         out["pl"] = _downcoded_pl(F.col("pl"), i, F.col("_n"))
-        if "gq" in entries.columns and recalculate_gq:
-            out["gq"] = F.coalesce(G.gq_from_pl(out["pl"]), F.col("gq"))
-    return e.withColumns(out).drop("_n")
+    e = e.withColumns(out)
+    if "pl" in out and "gq" in entries.columns and recalculate_gq:
+        # from the finished column: the lambdas above must not be evaluated twice in one projection
+        e = e.withColumn("gq", F.coalesce(G.gq_from_pl("pl"), F.col("gq")))
+    return e.drop("_n")
 
 
 def allele_data(sites: DataFrame) -> DataFrame:

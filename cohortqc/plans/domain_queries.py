@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortqc.functions import genetics as G
-from cohortqc.functions.ids import is_number
 from cohortqc.operators import aggregates as A
 from cohortqc.operators import filters, identity, joins, split
 from cohortqc.session import read_table
@@ -48,12 +47,6 @@ def freemix_missing(spark, sf):
     return filters.freemix_missing(read_table(spark, sf, "samples")).select("s", "seq_batch")
 
 
-@query("SELECT s, freemix, row_number() OVER (ORDER BY freemix NULLS LAST, s, arrived_at) - 1 AS idx FROM samples WHERE NOT isnan(coalesce(freemix, 0))")
-def freemix_index(spark, sf):
-    s = read_table(spark, sf, "samples").where("not isnan(coalesce(freemix, 0))")
-    return joins.row_index(s, [F.asc_nulls_last("freemix"), "s", "arrived_at"]).select("s", "freemix", F.col("idx").cast("long").alias("idx"))
-
-
 @query("SELECT s, freemix, row_number() OVER (ORDER BY CASE WHEN freemix IS NULL THEN 2 WHEN isnan(freemix) THEN 1 ELSE 0 END, freemix, s, arrived_at) - 1 AS idx FROM samples")
 def freemix_index_all(spark, sf):
     """All samples: numbers, then NaN, then nulls."""
@@ -63,16 +56,17 @@ def freemix_index_all(spark, sf):
 
 # ---- identity ------------------------------------------------------------------------------------------------------
 _PAIRS = """WITH pairs AS (SELECT data_sample, microarray_sample, line_no, CASE WHEN n_sites = 0 THEN 1000.0 ELSE discordance / n_sites END AS score FROM (
-  SELECT * FROM gtcheck_results WHERE data_sample IS NOT NULL AND microarray_sample IS NOT NULL AND n_sites IS NOT NULL AND discordance IS NOT NULL AND NOT isnan(discordance) AND NOT isinf(discordance)
-  QUALIFY row_number() OVER (PARTITION BY data_sample, microarray_sample ORDER BY line_no) = 1) q)"""
+  SELECT * FROM gtcheck_results WHERE data_sample IS NOT NULL AND microarray_sample IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY data_sample, microarray_sample ORDER BY line_no) = 1) q
+  WHERE n_sites = 0 OR (n_sites IS NOT NULL AND discordance IS NOT NULL AND NOT isnan(discordance) AND NOT isinf(discordance)))"""
 _BEST = "best AS (SELECT data_sample, microarray_sample AS bm, score AS bs FROM pairs QUALIFY row_number() OVER (PARTITION BY data_sample ORDER BY score, line_no) = 1)"
 _MAP = """mp AS (SELECT data_sample, microarray_sample, count(*) OVER (PARTITION BY data_sample) > 1 AS duplicated_wes, count(*) OVER (PARTITION BY microarray_sample) > 1 AS duplicated_microarray FROM mapping_file
   WHERE data_sample IS NOT NULL AND microarray_sample IS NOT NULL)"""
 
 
 def _report(spark, sf):
-    r = read_table(spark, sf, "gtcheck_results")
-    return r.where(F.col("data_sample").isNotNull() & F.col("microarray_sample").isNotNull() & F.col("n_sites").isNotNull() & is_number("discordance") & (F.abs("discordance") != float("inf")))
+    """The whole report: the first line of a pair counts, and a pair whose first line has no score is left out."""
+    return read_table(spark, sf, "gtcheck_results")
 
 
 def _mapping(spark, sf):
@@ -81,12 +75,12 @@ def _mapping(spark, sf):
 
 @query(f"{_PAIRS} SELECT data_sample, microarray_sample, score FROM pairs")
 def gtcheck_scores(spark, sf):
-    return identity.prepare_report(_report(spark, sf)).select("data_sample", "microarray_sample", "score")
+    return identity.prepare_report(_report(spark, sf), bad_scores="leave_out").select("data_sample", "microarray_sample", "score")
 
 
 @query(f"{_PAIRS}, {_BEST} SELECT data_sample, bm AS best_match_microarray_sample, bs AS best_match_microarray_score FROM best")
 def best_match_argmin(spark, sf):
-    return identity.best_match(identity.prepare_report(_report(spark, sf)))
+    return identity.best_match(identity.prepare_report(_report(spark, sf), bad_scores="leave_out"))
 
 
 @query(f"WITH {_MAP} SELECT *, duplicated_wes OR duplicated_microarray AS duplicated_id_any, duplicated_wes AND duplicated_microarray AS duplicated_id_both FROM mp")
@@ -96,23 +90,23 @@ def mark_duplicates(spark, sf):
 
 _VALID = f"""{_PAIRS}, {_BEST}, {_MAP}, ms AS (SELECT data_sample, bool_or(duplicated_wes OR duplicated_microarray) AS dup FROM mp GROUP BY ALL),
 b2 AS (SELECT best.*, ms.data_sample IS NOT NULL AS in_map, coalesce(dup, false) AS dup, EXISTS (SELECT 1 FROM mp WHERE mp.data_sample = best.data_sample AND mp.microarray_sample = bm) AS matched FROM best LEFT JOIN ms ON ms.data_sample = best.data_sample),
-v AS (SELECT data_sample, bm AS best_match_microarray_sample, NULL AS mapped_microarray_sample, CASE WHEN NOT in_map THEN 'best_match_not_exist_in_mapfile,' ELSE 'best_match_exist_in_mapfile,best_match_matched_mapfile,'
+v AS (SELECT data_sample, bm AS best_match_microarray_sample, NULL AS mapped_microarray_sample, NULL AS score_from_mapped, NULL AS restored_samples, CASE WHEN NOT in_map THEN 'best_match_not_exist_in_mapfile,' ELSE 'best_match_exist_in_mapfile,best_match_matched_mapfile,'
     || CASE WHEN dup THEN 'mapfile_non_unique,' ELSE 'mapfile_unique,' END || CASE WHEN bs <= 0.2 THEN 'score_passed,' ELSE 'score_failed,' END END AS validation_tags, NOT in_map OR bs <= 0.2 AS is_validation_passed
   FROM b2 WHERE matched OR NOT in_map
-  UNION ALL SELECT b2.data_sample, bm, mp.microarray_sample, 'best_match_exist_in_mapfile,best_match_not_matched_mapfile,' || CASE WHEN p.score IS NULL THEN 'no_mapfile_pairs_have_gtcheck,'
+  UNION ALL SELECT b2.data_sample, bm, mp.microarray_sample, p.score, coalesce((SELECT string_agg(m2.data_sample, ',' ORDER BY m2.data_sample) FROM mp m2 WHERE m2.microarray_sample = bm), ''), 'best_match_exist_in_mapfile,best_match_not_matched_mapfile,' || CASE WHEN p.score IS NULL THEN 'no_mapfile_pairs_have_gtcheck,'
     ELSE 'mapfile_pairs_have_gtcheck,' || CASE WHEN p.score <= 0.2 THEN 'score_passed,' ELSE 'score_failed,' END END, coalesce(p.score <= 0.2, false)
   FROM b2 JOIN mp ON mp.data_sample = b2.data_sample LEFT JOIN pairs p ON p.data_sample = b2.data_sample AND p.microarray_sample = mp.microarray_sample WHERE in_map AND NOT matched)"""
 
 
 @query(f"{_VALID} SELECT * FROM v")
 def identity_tags(spark, sf):
-    v = identity.validate(_report(spark, sf), _mapping(spark, sf))
-    return v.select("data_sample", "best_match_microarray_sample", "mapped_microarray_sample", "validation_tags", "is_validation_passed")
+    v = identity.validate(_report(spark, sf), _mapping(spark, sf), bad_scores="leave_out")
+    return v.select("data_sample", "best_match_microarray_sample", "mapped_microarray_sample", "score_from_mapped", F.array_join("restored_samples", ",").alias("restored_samples"), "validation_tags", "is_validation_passed")
 
 
 @query(f"{_VALID} SELECT validation_tags, count(*) AS n FROM v GROUP BY ALL")
 def identity_tag_summary(spark, sf):
-    return identity.tag_summary(identity.validate(_report(spark, sf), _mapping(spark, sf)))
+    return identity.tag_summary(identity.validate(_report(spark, sf), _mapping(spark, sf), bad_scores="leave_out"))
 
 
 @query("""WITH d AS (SELECT s AS id, count(*) = 1 AS is_unique FROM samples WHERE s IS NOT NULL GROUP BY s), m AS (SELECT data_sample AS id, count(*) = 1 AS is_unique FROM mapping_file WHERE data_sample IS NOT NULL AND microarray_sample IS NOT NULL GROUP BY 1)

@@ -6,12 +6,12 @@ import sys
 
 import pytest
 
-from cohortqc.plans import cohort_queries, domain_queries, general, kernel_queries
+from cohortqc.plans import cohort_queries, domain_queries, general, io_queries, kernel_queries
 from tests.util import DATA, same
 
-MODULES = (cohort_queries, domain_queries, general)
+MODULES = (cohort_queries, domain_queries, general, kernel_queries, io_queries)
 CASES = [(m, n) for m in MODULES for n in m.QUERIES if n in m.SQL]
-PLAIN = [(m, n) for m in (*MODULES, kernel_queries) for n in m.QUERIES if n not in m.SQL]
+PLAIN = [(m, n) for m in MODULES for n in m.QUERIES if n not in m.SQL]
 data = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not there")
 
 

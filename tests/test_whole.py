@@ -3,7 +3,6 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from cohortqc.llm import queries as llm
 from cohortqc.operators import filling, filters, model, structure
 from cohortqc.plans import cohort_queries, domain_queries, kernel_queries, testcohort
 from cohortqc.session import read_table
@@ -61,10 +60,6 @@ def test_fallback_medians_are_exact_over_many_values(spark):
         assert (got[k]["inbreedingcoeff"], got[k]["inbreedingcoeff_method"]) == (middle(x) * 2.0 / n - 1, method)
 
 
-def test_summaries_of_all_days_give_the_whole_percentiles(spark):
-    assert rows(llm.QUERIES["p3_merged_all_days"](spark, DATA), "s", "measure", "percentile", "value", "n") == rows(llm.p3_percentiles(spark, DATA), "s", "measure", "percentile", "value", "n")
-
-
 def test_every_sample_has_a_freemix_index(spark):
     got = domain_queries.QUERIES["freemix_index_all"](spark, DATA).orderBy("idx").collect()
     assert [r["idx"] for r in got] == list(range(read_table(spark, DATA, "samples").count()))
