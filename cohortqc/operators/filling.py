@@ -4,15 +4,20 @@ Time-ordered filling per entity: numerics are interpolated between the observed
 call set and variant type, categories come from the same site or are carried from the nearest neighbour of the
 call set, both within a gap limit. Each filled cell is marked with its method and distance.
 
-Scale: an entity may hold a third of all rows, so neighbours are found in slices (entity, day). Each slice is
-scanned by itself; only its first and last observation, one row per slice, travel along the entity's days.
+Scale: an entity, or one moment of it, may hold a third of all rows, so rows are parted by ranges of (entity, time, row),
+of equal size whatever the entities. Each part is scanned once, in order; only the first and last observation of
+the few entities that cross a part's border travel to the parts before and behind. The parts stay as they are for both
+passes, so categories and numerics need one sort each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -23,6 +28,8 @@ from cohortqc.session import bounded_rows, materialize, release
 VARIANT_TYPES = ("snv", "indel", "multi-snv", "multi-indel", "mixed")
 #: Neighbours further away than this many days are not used.
 GAP_DAYS = 30.0
+#: Rows of one part of the scan.
+PART_ROWS = 500_000
 #: Cells that a field's range is cut into to find its medians; only values of the medians' cells are ordered.
 MEDIAN_CELLS = 4096
 #: Tables with one row per entity are broadcast up to this size.
@@ -58,31 +65,68 @@ VARIANT_NUMERICS = (Numeric("mq", 0.0, 100.0), Numeric("inbreedingcoeff", -1.0,
 VARIANT_CATEGORY = Category("variant_type", VARIANT_TYPES)
 
 
-def _neighbours(df: DataFrame, entity: list[str], values: list[str]) -> DataFrame:
-    """Adds, of each value, p_<value> and n_<value>: struct(v, t) of the observed rows before and after in (t, row_id) order."""
-    slices = [*entity, "day"]
-    ahead = W.partitionBy(*slices).orderBy("t", "row_id").rowsBetween(W.unboundedPreceding, -1)
-    back = W.partitionBy(*slices).orderBy(F.desc("t"), F.desc("row_id")).rowsBetween(W.unboundedPreceding, -1)
-    obs = {v: F.when(F.col(v).isNotNull() & F.col("t").isNotNull(), F.struct(F.col(v).alias("v"), F.col("t").alias("t"))) for v in values}
-    inside = df.select(
-        "*",
-        *[F.last(o, True).over(ahead).alias(f"i_{v}") for v, o in obs.items()],
-        *[F.last(o, True).over(back).alias(f"j_{v}") for v, o in obs.items()],
-    )
-    order = F.struct("t", "row_id")
-    ends = df.groupBy(*slices).agg(
-        *[F.min_by(o, F.when(o.isNotNull(), order)).alias(f"first_{v}") for v, o in obs.items()],
-        *[F.max_by(o, F.when(o.isNotNull(), order)).alias(f"last_{v}") for v, o in obs.items()],
-    )
-    before = W.partitionBy(*entity).orderBy("day").rowsBetween(W.unboundedPreceding, -1)
-    after = W.partitionBy(*entity).orderBy(F.desc("day")).rowsBetween(W.unboundedPreceding, -1)
+def _scan(entity: Sequence[str], values: Sequence[str]):
+    """A part's rows in order -> of each row without a value the rows observed before and behind it inside the part, and
+    marks of the first (1) and last (2) observation of an entity in the part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        table = pa.Table.from_batches(parts).combine_chunks()
+        n = table.num_rows
+        fresh = np.zeros(n, bool)
+        fresh[0] = True
+        for e in (*entity, "pid"):
+            code = table[e].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            fresh[1:] |= code[1:] != code[:-1]
+        group = np.cumsum(fresh) - 1
+        at = np.arange(n)
+        timed = table["t"].is_valid().to_numpy()
+        for v in values:
+            obs = table[v].is_valid().to_numpy() & timed
+            last = np.maximum.accumulate(np.where(obs, at, -1))
+            before = np.r_[-1, last[:-1]]
+            before[(before >= 0) & (group[before] != group)] = -1
+            next_ = np.minimum.accumulate(np.where(obs, at, n)[::-1])[::-1]
+            after = np.r_[next_[1:], n]
+            after[(after < n) & (group[np.minimum(after, n - 1)] != group)] = n
+            edge = np.where(obs & (before < 0), 1, 0) + np.where(obs & (after == n), 2, 0)
+            for name, index, none in (("p", before, before < 0), ("n", after, after == n)):
+                index = pa.array(np.where(none, 0, index), mask=none | obs | ~timed)
+                taken = pa.StructArray.from_arrays([table[v].combine_chunks().take(index), table["t"].combine_chunks().take(index)], ["v", "t"], mask=pa.array(none | obs | ~timed))
+                table = table.append_column(f"{name}_{v}", taken)
+            table = table.append_column(f"e_{v}", pa.array(edge.astype(np.int32)))
+        yield from table.to_batches(max_chunksize=50_000)
+
+    return run
+
+
+def _neighbours(df: DataFrame, entity: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Adds, of each value, p_<value> and n_<value>: struct(v, t) of the observed rows before and after in (t, row_id)
+    order, for rows that lack the value and have a time. Rows with one pid lie together, ordered by entity, t and row_id."""
+    kinds = dict(df.dtypes)
+    more = ", ".join(f"p_{v} struct<v:{kinds[v]},t:{kinds['t']}>, n_{v} struct<v:{kinds[v]},t:{kinds['t']}>, e_{v} int" for v in values)
+    inside = materialize(df.mapInArrow(_scan(entity, values), ", ".join(f"{c} {t}" for c, t in df.dtypes) + ", " + more))
+    obs = {v: F.struct(F.col(v).alias("v"), F.col("t").alias("t")) for v in values}
+    bit = lambda v, b: F.when(F.col(f"e_{v}").bitwiseAND(b) > 0, obs[v])
+    # an entity that lies in one part has nothing to carry; two at most cross each border
+    spans = inside.groupBy(*entity).agg(F.min("pid").alias("one"), F.max("pid").alias("two")).where("one < two")
+    spans = F.broadcast(spans.select(*entity))
+    null_safe = lambda a, b: [a[e].eqNullSafe(b[e]) for e in entity]
+    crossing = inside.join(spans, null_safe(inside, spans), "left_semi")
+    ends = crossing.groupBy("pid", *entity).agg(*[F.max(bit(v, 1)).alias(f"first_{v}") for v in values], *[F.max(bit(v, 2)).alias(f"last_{v}") for v in values])
+    ahead = W.partitionBy(*entity).orderBy("pid").rowsBetween(W.unboundedPreceding, -1)
+    back = W.partitionBy(*entity).orderBy(F.desc("pid")).rowsBetween(W.unboundedPreceding, -1)
     carried = ends.select(
-        *slices,
-        *[F.last(f"last_{v}", True).over(before).alias(f"k_{v}") for v in values],
-        *[F.last(f"first_{v}", True).over(after).alias(f"l_{v}") for v in values],
+        *[F.col(c).alias(f"_{c}") for c in ("pid", *entity)],
+        *[F.last(f"last_{v}", True).over(ahead).alias(f"k_{v}") for v in values],
+        *[F.last(f"first_{v}", True).over(back).alias(f"l_{v}") for v in values],
     )
-    joined = inside.join(carried, slices)
-    out = [F.coalesce(f"i_{v}", f"k_{v}").alias(f"p_{v}") for v in values] + [F.coalesce(f"j_{v}", f"l_{v}").alias(f"n_{v}") for v in values]
+    carried = F.broadcast(carried)
+    lacks = lambda v: F.col(v).isNull() & F.col("t").isNotNull()
+    joined = inside.join(carried, [inside[c].eqNullSafe(carried[f"_{c}"]) for c in ("pid", *entity)], "left")
+    out = [F.coalesce(f"p_{v}", F.when(lacks(v), F.col(f"k_{v}"))).alias(f"p_{v}") for v in values] + [F.coalesce(f"n_{v}", F.when(lacks(v), F.col(f"l_{v}"))).alias(f"n_{v}") for v in values]
     return joined.select(*df.columns, *out)
 
 
@@ -158,10 +202,13 @@ def fill_gaps(
         *[F.col(c).alias(f"site{k}") for k, c in enumerate(site)],
         category.usable().alias("cat"),
         *[n.usable().alias(f"num{k}") for k, n in enumerate(numerics)],
-    ).withColumn("day", F.coalesce(F.to_date("t"), F.lit("0001-01-01").cast("date")))
+    )
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / PART_ROWS))
+    ranged = base.repartitionByRange(parts, "entity", "t", "row_id").withColumn("pid", F.spark_partition_id())
 
     # categories: only rows with a gap meet the site and entity tables
-    near = _neighbours(base, ["entity"], ["cat"])
+    near = _neighbours(ranged.sortWithinPartitions("entity", "t", "row_id"), ["entity"], ["cat"])
+    base = near
     sites = [f"site{k}" for k in range(len(site))]
     tally = base.where("cat is not null")
 
@@ -191,12 +238,13 @@ def fill_gaps(
             (F.lit(True), F.lit(None).cast("string"), none, "none"),
         ),
     )
-    keep = ["row_id", "entity", "t", "day", *[f"num{k}" for k in range(len(names))]]
+    keep = ["row_id", "entity", "t", "pid", *[f"num{k}" for k in range(len(names))]]
     known = base.where("cat is not null").select(*keep, _pick((F.lit(True), F.col("cat"), F.lit(0.0), "observed")).alias("c"))
     rows = materialize(known.unionByName(filled.select(*keep, "c")).withColumn("kind", F.coalesce(F.col("c")["value"], F.lit("\0"))))
 
     values = [f"num{k}" for k in range(len(names))]
-    near = _neighbours(rows, ["entity", "kind"], values)
+    order = ["pid", "entity", "kind", "t", "row_id"]
+    near = _neighbours(rows.repartitionById(parts, F.col("pid")).sortWithinPartitions(*order), ["entity", "kind"], values)
     # at most a row per kind (a closed list), and one
     medians = _medians(rows, values, numerics)
     kinds = sorted({kind for kind, _ in medians if kind is not None})

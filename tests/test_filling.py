@@ -1,7 +1,13 @@
 import datetime as dt
+import os
+import random
+
+import duckdb
+import pytest
 
 from cohortqc.operators import filling as X
-from tests.util import rows
+from cohortqc.plans import general
+from tests.util import norm, rows
 
 SCHEMA = "row_id long, contig string, pos int, mq double, inbreedingcoeff double, variant_type string, callset_id string, called_at timestamp_ntz, loaded_at timestamp_ntz, t string, day string, entity int"
 nan = float("nan")
@@ -80,3 +86,25 @@ def test_slices_of_days_agree_with_one_scan(spark):
                 assert r["mq_method"] == "interpolated" and abs(r["mq"] - (p[0] + (n[0] - p[0]) * dp / (dp + dn))) < 1e-6
             else:
                 assert r["mq_method"] == ("carried" if dp <= 5 else "carried_back" if dn <= 5 else "type")
+
+
+@pytest.mark.parametrize("part_rows", [6, 10**6])
+def test_parts_cut_entities_and_moments(spark, tmp_path, monkeypatch, part_rows):
+    """An entity, and one moment of it, lie in many parts; compared with the SQL of the whole."""
+    monkeypatch.setattr(X, "PART_ROWS", part_rows)
+    rnd = random.Random(5)
+    data = []
+    for k in range(150):
+        t = rnd.choice([None, at(3), at(3), at(3), at(rnd.randint(0, 60), rnd.randint(0, 23))])
+        data.append((k, "chr1", rnd.choice([None, rnd.randint(1, 60)]), rnd.choice([None, nan, 40.0, rnd.random() * 100, -1.0]), rnd.choice([None, rnd.random()]), rnd.choice(["snv", " SNV", "indel", None, "?", None]), rnd.choice(["hot", "hot", "a", None]), t, t))
+    spark.createDataFrame([(*d, "x", "y", 1) for d in data], SCHEMA).drop("t", "day", "entity").write.parquet(str(tmp_path / "variants.parquet"))
+    (tmp_path / "d").mkdir()
+    os.symlink(tmp_path / "variants.parquet", tmp_path / "d" / "variants.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view variants as select * from '{tmp_path}/variants.parquet/*.parquet'")
+    res = con.execute(general.SQL["p6_filled"])
+    names = [d[0] for d in res.description]
+    norm_row = lambda r: repr(tuple(norm(x) for x in r))
+    want = sorted(norm_row(r[names.index(c)] for c in sorted(names)) for r in res.fetchall())
+    got = general.p6_filled(spark, str(tmp_path / "d"))
+    assert sorted(norm_row(r[c] for c in sorted(names)) for r in got.collect()) == want
