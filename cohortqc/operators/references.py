@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from cohortqc.functions.ids import NO_REFERENCE, norm_id
+from cohortqc.session import materialize
 
-#: A key is heavy if it holds more than this share of all references: at most 1/HEAVY_SHARE keys are.
-HEAVY_SHARE = 1 / 1024
-#: Fewer references than this never make a key heavy.
-HEAVY_MIN = 10_000
-#: The heavy keys' target spans are broadcast only up to this number.
+#: A key is heavy if it holds more references than a task should get, or than 1 / HEAVY_KEYS of all: at most HEAVY_KEYS keys are.
+HEAVY_MIN = 100_000
+HEAVY_KEYS = 100_000
+#: The heavy keys' target spans and months are broadcast only up to this number; beyond it they meet in SALT parts per key.
 BROADCAST_SPANS = 200_000
+SALT = 64
 _OPEN = "9999-12-31 00:00:00"
 
 
@@ -89,13 +90,18 @@ def _verdict() -> F.Column:
     )
 
 
-def _resolve(refs: DataFrame, per: DataFrame, spans: DataFrame, broadcast: bool) -> DataFrame:
+def _resolve(refs: DataFrame, per: DataFrame, spans: DataFrame, broadcast: bool, salt: int = 1) -> DataFrame:
+    """``salt``: parts that the references of a key are spread over, each of which meets a copy of the key's judgements."""
     side = F.broadcast if broadcast else (lambda d: d)
     judged = per.join(side(spans), ["target", "ref_key"], "left").withColumn("verdict", _verdict()).where("verdict <> 'ok'")
     judged = judged.select(
         "target", "ref_key", F.col("ref_month").alias("_m"), "verdict", "first_arrival", "undated", F.when(F.col("verdict") == "mixed", F.col("spans")).alias("spans")
     )
+    judged = judged.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))) if salt > 1 else F.lit(0))
+    refs = refs.withColumn("_salt", F.pmod(F.xxhash64("record_id", "t"), F.lit(salt)).cast("int"))
     on = (refs["target"] == judged["target"]) & (refs["ref_key"] == judged["ref_key"]) & refs["ref_month"].eqNullSafe(judged["_m"])
+    if salt > 1:
+        on = on & (refs["_salt"] == judged["_part"])
     single = (
         F.when(F.col("verdict") != "mixed", F.col("verdict"))
         .when(_live_at(F.col("t"), F.col("t")), "ok")
@@ -106,7 +112,7 @@ def _resolve(refs: DataFrame, per: DataFrame, spans: DataFrame, broadcast: bool)
 
 
 def orphan_references(
-    refs: DataFrame, targets: DataFrame, heavy_share: float = HEAVY_SHARE, heavy_min: int = HEAVY_MIN, broadcast_spans: int = BROADCAST_SPANS
+    refs: DataFrame, targets: DataFrame, heavy_keys: int = HEAVY_KEYS, heavy_min: int = HEAVY_MIN, broadcast_spans: int = BROADCAST_SPANS
 ) -> DataFrame:
     """One row per reference without a target row that is live at the record's time.
 
@@ -121,18 +127,17 @@ def orphan_references(
     refs = refs.withColumn("ref_month", F.date_format("t", "yyyy-MM"))
     per = refs.groupBy("target", "ref_key", "ref_month").agg(F.count("*").alias("n"), F.min("t").alias("t_lo"), F.max("t").alias("t_hi"))
     spans = target_spans(targets)
-    least = max(heavy_min, int(refs.count() * heavy_share))
-    keys = per.groupBy("target", "ref_key").agg(F.sum("n").alias("n")).where(F.col("n") > least)
-    found = [(r["target"], r["ref_key"]) for r in keys.collect()]  # at most 1 / heavy_share keys hold that many
-    if not found:
+    least = max(heavy_min, refs.count() // heavy_keys)
+    keys = materialize(per.groupBy("target", "ref_key").agg(F.sum("n").alias("n")).where(F.col("n") > least).select("target", "ref_key"))
+    if not keys.count():
         return _resolve(refs, per, spans, False)
-    heavy = F.broadcast(refs.sparkSession.createDataFrame(found, "target string, ref_key string"))
+    heavy = F.broadcast(keys)  # at most heavy_keys rows
     pick = lambda d, how: d.join(heavy, ["target", "ref_key"], how)
     heavy_spans = pick(spans, "left_semi")
     small = (heavy_spans.agg(F.sum(F.size("spans"))).first()[0] or 0) <= broadcast_spans
     hot_per = pick(per, "left_semi")
     small = small and hot_per.count() <= broadcast_spans  # a row per heavy key and month
-    hot = _resolve(pick(refs, "left_semi"), hot_per, heavy_spans, small)
+    hot = _resolve(pick(refs, "left_semi"), hot_per, heavy_spans, small, 1 if small else SALT)
     return hot.unionByName(_resolve(pick(refs, "left_anti"), pick(per, "left_anti"), spans, False))
 
 

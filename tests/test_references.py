@@ -31,7 +31,7 @@ WANT = [
 ]
 
 
-@pytest.mark.parametrize("kw", [{}, {"heavy_min": 0, "heavy_share": 1 / 1024}, {"heavy_min": 0, "heavy_share": 1 / 1024, "broadcast_spans": 0}])
+@pytest.mark.parametrize("kw", [{}, {"heavy_min": 0, "heavy_keys": 1024}, {"heavy_min": 0, "heavy_keys": 1024, "broadcast_spans": 0}])
 def test_cases(spark, kw):
     assert rows(find(spark, REFS, TARGETS, **kw)) == sorted(WANT, key=repr)
 
