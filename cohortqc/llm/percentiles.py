@@ -9,11 +9,11 @@ over any set of days. Codes are whole numbers: value / step, rounded. dp and gq
 has a step of 1e-6, so every percentile is within half a step. A day's counts are therefore bounded by
 the number of codes, whatever its number of rows.
 
-Scale: one pass over the group column finds the few groups that hold more than HOT_SHARE of all rows (at most
-1/HOT_SHARE groups). All other rows are shuffled once, by group; a task that holds whole groups finishes all their
-passes by itself. Hot groups are never brought together: their counts are pre-aggregated where the rows are, stay
-spread by code, and are bisected across tasks, one job for all of them per pass, with several midpoints per
-interval.
+Scale: one pass over the group column finds the groups of more than HOT_ROWS rows. All other rows are shuffled once, by
+group; a task that holds whole groups finishes all their passes by itself. Hot groups are never brought together: their
+rows become counts where they are, one per code, whatever the number of days. A hot group's counts then go to one
+task like any other group's, or, if it has more than HOT_CODES different codes, stay spread by code and are bisected
+across tasks, one job for all such groups per pass, with several midpoints per interval.
 """
 
 from __future__ import annotations
@@ -29,11 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortqc.functions.ids import is_finite, norm_id
-from cohortqc.session import materialize, release
+from cohortqc.session import materialize
 
 PERCENTILES = (1, 5, 25, 50, 75, 95, 99)
-HOT_SHARE = 1 / 512
-HOT_MIN = 100_000
+#: A group of more rows is counted where its rows are. Beyond HOT_ROWS * HOT_GROUPS rows in all, the limit is rows / HOT_GROUPS.
+HOT_ROWS = 1_000_000
+HOT_GROUPS = 100_000
+#: A hot group of more different codes is bisected across tasks; likewise for ACROSS_GROUPS.
+HOT_CODES = 4_000_000
+ACROSS_GROUPS = 512
 #: Rows of counts that one task of the local bisection should hold.
 TASK_ROWS = 1_000_000
 #: Midpoints per interval in a pass over the hot groups.
@@ -145,7 +149,7 @@ def _local(shares: Sequence[float]):
 def _across(counts: DataFrame, shares: Sequence[float]) -> list[tuple]:
     """(grp, measure, codes, total) of the hot groups: bisection with one job per pass for all of them.
 
-    The state is one interval per hot group, measure and percentile: at most 1 / HOT_SHARE groups.
+    The state is one interval per hot group, measure and percentile: at most ACROSS_GROUPS groups.
     """
     spark = counts.sparkSession
     first = counts.groupBy("grp", "measure").agg(F.min("code").alias("lo"), F.max("code").alias("hi"), F.sum("n").alias("n")).collect()
@@ -155,6 +159,9 @@ def _across(counts: DataFrame, shares: Sequence[float]) -> list[tuple]:
     while open_ := {key: b for key, b in state.items() if b[0] < b[1]}:
         mids = {key: sorted({lo + (hi - lo) * j // (MIDPOINTS + 1) for j in range(1, MIDPOINTS + 1)} - {hi}) for key, (lo, hi) in open_.items()}
         rows = [(g, m, k, mid) for (g, m, k), each in mids.items() for mid in each]
+        sorted_mids: dict[tuple, set[int]] = {}
+        for (g, m, _), each in mids.items():
+            sorted_mids.setdefault((g, m), set()).update(each)
         points = F.broadcast(spark.createDataFrame(rows, "grp string, measure int, k int, mid long").groupBy("grp", "measure").agg(F.array_sort(F.collect_set("mid")).alias("mids")))
         # each row of counts falls into one gap between midpoints; sums over gaps give the counts below each
         gap = F.size(F.filter("mids", lambda x: x < F.col("code")))
@@ -164,10 +171,9 @@ def _across(counts: DataFrame, shares: Sequence[float]) -> list[tuple]:
             per.setdefault((r["grp"], r["measure"]), {})[r["gap"]] = r["n"]
         below: dict[tuple, dict[int, int]] = {}
         for (g, m), gaps in per.items():
-            points_of = sorted({mid for (g2, m2, _), each in mids.items() if (g2, m2) == (g, m) for mid in each})
             run = 0
             below[g, m] = {}
-            for j, mid in enumerate(points_of):
+            for j, mid in enumerate(sorted(sorted_mids[g, m])):
                 run += gaps.get(j, 0)
                 below[g, m][mid] = run
         for key, each in mids.items():
@@ -197,20 +203,27 @@ def _named(got: DataFrame, measures: Sequence[Measure], shares: Sequence[float])
 _FOUND = "grp string, measure int, codes array<long>, total long"
 
 
-def _hot_groups(sizes: DataFrame) -> tuple[list[str], int]:
-    """The groups of more than HOT_SHARE of all rows, at most 1 / HOT_SHARE, and the number of rows."""
+def _larger(sizes: DataFrame, least: int, groups: int) -> tuple[DataFrame | None, int]:
+    """The groups of more than ``least`` rows (raised so that there are at most ``groups``), to be broadcast, and the number of rows."""
     total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
-    return [r["grp"] for r in sizes.where(F.col("n") > max(HOT_MIN, int(total * HOT_SHARE))).collect()], total
+    if total <= least:
+        return None, total
+    found = materialize(sizes.where(F.col("n") > max(least, total // groups)).select("grp"))
+    return (F.broadcast(found) if found.count() else None), total
 
 
 def _solve(cold: DataFrame, hot: DataFrame | None, shares: Sequence[float]) -> DataFrame:
-    """``cold``: counts whose groups lie in one partition each; ``hot``: counts of hot groups, in any order."""
-    got = cold.select("grp", "measure", "code", "n").mapInArrow(_local(shares), _FOUND)
-    if hot is not None:
-        some = materialize(hot.groupBy("grp", "measure", "code").agg(F.sum("n").alias("n")))
-        rows = _across(some, shares)
-        release(some)
-        got = got.unionByName(cold.sparkSession.createDataFrame(rows, _FOUND))
+    """``cold``: counts whose groups lie in one partition each; ``hot``: counts of hot groups, one per code, in any order."""
+    local = lambda d: d.select("grp", "measure", "code", "n").mapInArrow(_local(shares), _FOUND)
+    got = local(cold)
+    if hot is None:
+        return got
+    some = materialize(hot)
+    wide, rows = _larger(some.groupBy("grp").agg(F.count("*").alias("n")), HOT_CODES, ACROSS_GROUPS)
+    rest = some if wide is None else some.join(wide, "grp", "left_anti")
+    got = got.unionByName(local(rest.repartition(_tasks(some, rows), "grp")))
+    if wide is not None:
+        got = got.unionByName(cold.sparkSession.createDataFrame(_across(some.join(wide, "grp", "left_semi"), shares), _FOUND))
     return got
 
 
@@ -220,10 +233,11 @@ def _tasks(df: DataFrame, rows: int) -> int:
 
 def percentiles_of(counts: DataFrame, measures: Sequence[Measure] = ENTRY_MEASURES, shares: Sequence[float] = PERCENTILES) -> DataFrame:
     """(grp, measure, percentile, value, n, error_bound) from stored counts of any set of days (:func:`day_counts`)."""
-    hot, total = _hot_groups(counts.groupBy("grp").agg(F.count("*").alias("n")))
-    split = lambda keep: counts.where(F.col("grp").isin(hot) == keep) if hot else counts
-    cold = split(False).repartition(_tasks(counts, total), "grp")
-    return _named(_solve(cold, split(True) if hot else None, shares), measures, shares)
+    hot, total = _larger(counts.groupBy("grp").agg(F.count("*").alias("n")), HOT_ROWS, HOT_GROUPS)
+    cold = counts if hot is None else counts.join(hot, "grp", "left_anti")
+    cold = cold.repartition(_tasks(counts, total), "grp")
+    many = None if hot is None else counts.join(hot, "grp", "left_semi").groupBy("grp", "measure", "code").agg(F.sum("n").alias("n"))
+    return _named(_solve(cold, many, shares), measures, shares)
 
 
 def percentiles(
@@ -231,17 +245,17 @@ def percentiles(
 ) -> DataFrame:
     """The same as ``percentiles_of(day_counts(df))`` over ``span`` (first day, last day), with one shuffle of the rows.
 
-    The rows are shuffled by group; the counts per day and their bisection then need no other exchange.
+    The rows are shuffled by group; their counts and the bisection then need no other exchange.
     """
-    rows = _rows(df, measures, group, day, span)
-    hot, total = _hot_groups(rows.groupBy("grp").agg(F.count("*").alias("n")))
+    rows = _rows(df, measures, group, day, span).drop("day")
+    hot, total = _larger(rows.groupBy("grp").agg(F.count("*").alias("n")), HOT_ROWS, HOT_GROUPS)
 
     def counted(part: DataFrame) -> DataFrame:
-        return part.select("grp", "day", F.explode(_codes(measures)).alias("x")).groupBy("grp", "day", "x.measure", "x.code").agg(F.count("*").alias("n"))
+        return part.select("grp", F.explode(_codes(measures)).alias("x")).groupBy("grp", "x.measure", "x.code").agg(F.count("*").alias("n"))
 
-    split = lambda keep: rows.where(F.col("grp").isin(hot) == keep) if hot else rows
-    cold = counted(split(False).repartition(_tasks(df, total * len(measures)), "grp"))
-    return _named(_solve(cold, counted(split(True)) if hot else None, shares), measures, shares)
+    cold = rows if hot is None else rows.join(hot, "grp", "left_anti")
+    cold = counted(cold.repartition(_tasks(df, total * len(measures)), "grp"))
+    return _named(_solve(cold, None if hot is None else counted(rows.join(hot, "grp", "left_semi")), shares), measures, shares)
 
 
 def entry_percentiles(entries: DataFrame, first_day=None, last_day=None) -> DataFrame:

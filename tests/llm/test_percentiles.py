@@ -1,11 +1,13 @@
 import datetime as dt
 import math
+import os
 import random
 
 import pytest
 
 from cohortqc.llm import percentiles as P
-from tests.util import rows
+from cohortqc.llm import queries
+from tests.util import DATA, rows
 
 SCHEMA = "s string, load_day date, dp int, gq int, hetab double, grp int, day string, n int, code int"
 nan = float("nan")
@@ -42,16 +44,18 @@ def sample(seed=1, n=3000):
     return [(who(), day(), rnd.choice([None, 0, rnd.randint(0, 60), 2**31 - 1, -(2**31), 7]), rnd.choice([None, rnd.randint(0, 99)]), rnd.choice([None, nan, float("inf"), round(rnd.random(), 6), 0.5, -0.25])) for _ in range(n)]
 
 
-@pytest.mark.parametrize("hot", [100_000, 50])
+@pytest.mark.parametrize("hot", [(1_000_000, 1_000_000), (50, 1_000_000), (50, 60)])
 def test_against_sorting(spark, monkeypatch, hot):
-    monkeypatch.setattr(P, "HOT_MIN", hot)
+    monkeypatch.setattr(P, "HOT_ROWS", hot[0])
+    monkeypatch.setattr(P, "HOT_CODES", hot[1])
     data = sample()
     assert table(P.entry_percentiles(frame(spark, data))) == plain(data)
 
 
-@pytest.mark.parametrize("hot", [100_000, 50])
+@pytest.mark.parametrize("hot", [(1_000_000, 1_000_000), (50, 1_000_000), (50, 60)])
 def test_days_can_be_joined(spark, monkeypatch, hot):
-    monkeypatch.setattr(P, "HOT_MIN", hot)
+    monkeypatch.setattr(P, "HOT_ROWS", hot[0])
+    monkeypatch.setattr(P, "HOT_CODES", hot[1])
     data = sample(2)
     span = (dt.date(2024, 1, 3), dt.date(2024, 1, 6))
     want = plain(data, span)
@@ -76,3 +80,9 @@ def test_empty_and_all_missing(spark):
     assert P.entry_percentiles(frame(spark, [])).count() == 0
     got = P.entry_percentiles(frame(spark, [("a", None, None, None, nan), ("b", None, 5, None, None)]))
     assert rows(got, "s", "measure", "percentile", "value")[0][:2] == ("B", "dp") and got.count() == 7
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not there")
+def test_summaries_of_all_days_give_the_whole_percentiles(spark):
+    cols = ("s", "measure", "percentile", "value", "n")
+    assert rows(queries.QUERIES["p3_merged_all_days"](spark, DATA), *cols) == rows(queries.p3_percentiles(spark, DATA), *cols)
