@@ -6,9 +6,10 @@ the representatives that one vertex got in different cells: its smallest represe
 the others become edges of the next, smaller round. Once no edge is left the parents are stable, and the rounds'
 parent tables are composed backwards.
 
-Scale: no cell holds all edges of a hub (they spread over a row of cells), a vertex has at most one
-representative per cell of its row and column, and neither edges nor components ever come to the driver; it
-only sees each round's number of edges.
+Scale: a cell with more than CELL_EDGES edges (a hub's edges lie in one row of cells) is cut into parts by a hash of
+the edge, each a local union-find of its own; a task holds one part at a time. A vertex has at most one representative
+per part of the cells of its row and column. Neither edges nor components ever come to the driver; it only sees
+each round's number of edges. Parents of very many vertices are met by broadcast.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ CELL_EDGES = 500_000
 MIN_BLOCKS = 3
 #: A round's table of parents is broadcast up to this size.
 BROADCAST_PARENTS = 500_000
+#: Parents of more vertices are broadcast in any case; there are at most vertices / HOT_CHILDREN of them.
+HOT_CHILDREN = 1_000_000
 
 
 def local_roots(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
@@ -55,27 +58,36 @@ def local_roots(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cell, a, b) of whole cells -> (vertex, root) of each cell."""
-    parts = list(batches)
-    if not parts:
-        return
+    """(cell, part, a, b), ordered by cell and part -> (vertex, root) of each part of a cell, one after the other."""
+    held: list[pa.RecordBatch] = []
+    before = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell, part = batch.column("cell").to_numpy(), batch.column("part").to_numpy()
+        cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (part[1:] != part[:-1])) + 1
+        for x, y in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+            key = (cell[x], part[x])
+            if held and key != before:
+                yield from _roots(held)
+                held = []
+            held.append(batch.slice(x, y - x))
+            before = key
+    if held:
+        yield from _roots(held)
+
+
+def _roots(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(parts)
-    if not table.num_rows:
-        return
-    cell = table["cell"].to_numpy()
     ends = pd.concat([table["a"].to_pandas(), table["b"].to_pandas()], ignore_index=True)
     code, names = pd.factorize(ends, sort=True)
     del ends
-    # the same vertex in another cell is another vertex here, so that several cells of one task stay apart
-    cells, cell_code = np.unique(cell, return_inverse=True)
-    local, dense = np.unique(np.tile(cell_code, 2) * len(names) + code, return_inverse=True)
-    half = len(cell)
-    root = local_roots(dense[:half], dense[half:], len(local))
-    vertex, top = local % len(names), local[root] % len(names)
+    half = table.num_rows
+    root = local_roots(code[:half], code[half:], len(names))
     names = pa.array(names, pa.string())
-    for k in range(0, len(local), 100_000):
-        s = slice(k, k + 100_000)
-        yield pa.RecordBatch.from_arrays([names.take(pa.array(vertex[s])), names.take(pa.array(top[s]))], ["v", "root"])
+    for k in range(0, len(names), 100_000):
+        top = pa.array(root[k : k + 100_000])
+        yield pa.RecordBatch.from_arrays([names[k : k + 100_000], names.take(top)], ["v", "root"])
 
 
 def grid_blocks(edges: int, cell_edges: int = CELL_EDGES, least: int = 1) -> int:
@@ -101,12 +113,20 @@ def connected_groups(pairs: DataFrame, cell_edges: int = CELL_EDGES, min_blocks:
         least = 1
         block = lambda c, k=k: F.pmod(F.xxhash64(c), F.lit(k))
         row, col = F.least(block("a"), block("b")), F.greatest(block("a"), block("b"))
-        cells = edges.select((row * k + col).cast("long").alias("cell"), "a", "b").repartition(k * (k + 1) // 2, "cell")
+        cells = edges.select((row * k + col).cast("long").alias("cell"), "a", "b")
+        if left > cell_edges:  # else no cell can hold too many
+            # there are at most edges / cell_edges cells to be cut
+            heavy = cells.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > cell_edges).select("cell", F.ceil(F.col("n") / cell_edges).alias("parts"))
+            part = F.pmod(F.xxhash64("a", "b"), F.coalesce("parts", F.lit(1)))
+            cells = cells.join(F.broadcast(heavy), "cell", "left").select("cell", part.cast("int").alias("part"), "a", "b")
+        else:
+            cells = cells.select("cell", F.lit(0).alias("part"), "a", "b")
+        cells = cells.repartition(max(k * (k + 1) // 2, math.ceil(left / cell_edges)), "cell", "part").sortWithinPartitions("cell", "part")
         roots = materialize(cells.mapInArrow(_cells, "v string, root string"))
         parent = materialize(roots.groupBy("v").agg(F.min("root").alias("parent")))
         parents.append(parent)
         release(edges)
-        if k == 1:  # one cell: the parents are final
+        if k == 1 and left <= cell_edges:  # one cell: the parents are final
             release(roots)
             break
         # a vertex has at most one root per cell; only those that differ from its parent go on
@@ -124,10 +144,17 @@ def connected_groups(pairs: DataFrame, cell_edges: int = CELL_EDGES, min_blocks:
     done = parents.pop().select("v", F.col("parent").alias("group_id"))
     while parents:
         upper = done.select(F.col("v").alias("parent"), F.col("group_id").alias("final"))
-        if size <= BROADCAST_PARENTS:  # then a parent of very many vertices needs no shuffle by parent
-            upper = F.broadcast(upper)
-        size = parents[-1].count()
-        done = parents.pop().join(upper, "parent", "left").select("v", F.coalesce("final", "parent").alias("group_id"))
+        lower = parents.pop()
+        rows = lower.count()
+        if size <= BROADCAST_PARENTS:
+            done = lower.join(F.broadcast(upper), "parent", "left")
+        else:  # a parent of very many vertices does not bring them into one task
+            upper = materialize(upper)  # it is read twice
+            many = F.broadcast(materialize(lower.groupBy("parent").agg(F.count("*").alias("n")).where(F.col("n") > HOT_CHILDREN).select("parent")))
+            hot = F.broadcast(materialize(upper.join(many, "parent", "left_semi")))
+            done = lower.join(many, "parent", "left_anti").join(upper, "parent", "left").unionByName(lower.join(many, "parent", "left_semi").join(hot, "parent", "left"))
+        size = rows
+        done = done.select("v", F.coalesce("final", "parent").alias("group_id"))
     return done
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortqc.llm import components as C
@@ -55,6 +56,22 @@ def test_fine_grids(spark):
         assert run(spark, named[name], cell_edges=60) == plain(named[name]), name
 
 
+def test_hot_parents_and_cut_cells(spark, monkeypatch):
+    monkeypatch.setattr(C, "BROADCAST_PARENTS", 5)
+    monkeypatch.setattr(C, "HOT_CHILDREN", 50)
+    named = dict(shapes())
+    for name in ("path", "star"):
+        assert run(spark, named[name], cell_edges=120, min_blocks=2) == plain(named[name]), name
+
+
+def test_parts_of_a_cell_stay_apart():
+    cols = {"cell": [1, 1, 1, 2], "part": pa.array([0, 0, 1, 0], pa.int32()), "a": ["a", "b", "a", "a"], "b": ["b", "c", "z", "q"]}
+    table = pa.table(cols)
+    for size in (1, 2, 4):
+        got = [tuple(r.values()) for b in C._cells(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+        assert got == [("a", "a"), ("b", "a"), ("c", "a"), ("a", "a"), ("z", "a"), ("a", "a"), ("q", "a")]
+
+
 def test_local_union_find():
     rng = np.random.default_rng(2)
     for n in (1, 2, 50, 400):
