@@ -11,6 +11,7 @@ most N rows per task, and no hot group needs to be known. No group is sorted and
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,8 @@ from cohortqc.functions.ids import is_finite, norm_id
 
 #: Rows that a task gathers before it cuts them.
 CUT_ROWS = 2_000_000
+#: Rows that a task of the second step should get at most.
+TASK_ROWS = 1_000_000
 
 
 def ordered_bits(x: np.ndarray) -> np.ndarray:
@@ -78,7 +81,11 @@ def _cut(n: int, last: bool = False):
             parts.append(batch)
             rows += batch.num_rows
             if rows > CUT_ROWS:
-                parts, rows = _kept(pa.Table.from_batches(parts), n).to_batches(), 0
+                kept = _kept(pa.Table.from_batches(parts), n)
+                if not last and kept.num_rows > CUT_ROWS // 2:  # mostly small groups: they are decided in the next step
+                    yield from kept.to_batches(max_chunksize=100_000)
+                    kept = kept.slice(0, 0)
+                parts, rows = kept.to_batches(), kept.num_rows if not last else 0
         if parts:
             kept = _kept(pa.Table.from_batches(parts), n)
             yield from (_placed(kept) if last else kept).to_batches(max_chunksize=100_000)
@@ -106,17 +113,20 @@ def _placed(table: pa.Table) -> pa.Table:
     return table.take(pa.array(order)).append_column("place", pa.array(place, pa.int64()))
 
 
-def top_n(rows: DataFrame, n: int) -> DataFrame:
+def top_n(rows: DataFrame, n: int, upper_rows: int | None = None) -> DataFrame:
     """The n rows with the lowest score of each grp, the lower ident first on a tie, with their place from 1.
 
     ``rows``: (grp string, item string, score double, ident long), score finite, ident unique in a group, already
-    spread over the partitions. Groups of fewer than n rows come out whole.
+    spread over the partitions. Groups of fewer than n rows come out whole. ``upper_rows``: a bound of the number of
+    rows, which sizes the exchange by group (a task holds its groups' best rows of all tasks before).
     """
     if n < 1:
         raise ValueError("n must be at least 1")
     kinds = "grp string, item string, score double, ident long"
     rows = rows.select("grp", "item", "score", "ident")
-    return rows.mapInArrow(_cut(n), kinds).repartition("grp").mapInArrow(_cut(n, last=True), kinds + ", place long")
+    size = rows.count() if upper_rows is None else upper_rows
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TASK_ROWS))
+    return rows.mapInArrow(_cut(n), kinds).repartition(tasks, "grp").mapInArrow(_cut(n, last=True), kinds + ", place long")
 
 
 def best_arrays(gtcheck: DataFrame, n: int = 3) -> DataFrame:
@@ -133,7 +143,7 @@ def best_arrays(gtcheck: DataFrame, n: int = 3) -> DataFrame:
     )
     first = lines.groupBy(*pair).agg(F.min("line_no").alias("ident"), F.min_by("score", "line_no").alias("score"))
     usable = first.where(is_finite("score") & F.col("ident").isNotNull())
-    best = top_n(usable, n)
+    best = top_n(usable, n, gtcheck.count())  # Parquet files know their number of rows
     return best.select(
         F.col("grp").alias("data_sample"), F.col("item").alias("microarray_sample"), F.col("place").cast("int").alias("place"), "score", F.col("ident").alias("line_no")
     )
