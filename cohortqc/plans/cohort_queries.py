@@ -12,6 +12,7 @@ from cohortqc.operators import aggregates as A
 from cohortqc.operators import family, filters, grid, joins, ranks, tiers
 from cohortqc.plans import plotdata
 from cohortqc.plans.testcohort import WITH, Cohort, load
+from cohortqc.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -736,3 +737,56 @@ def de_novo(spark, c):
 @query(f"{WITH} SELECT bin, count(*) AS n, count(*) FILTER (WHERE tp) AS n_tp, min(score) AS min_score, max(score) AS max_score FROM (SELECT *, rf_bin AS bin FROM vars) GROUP BY bin")
 def bin_summary(spark, c):
     return c.variants.groupBy(F.col("rf_bin").alias("bin")).agg(F.count("*").alias("n"), F.count_if("tp").alias("n_tp"), F.min("score").alias("min_score"), F.max("score").alias("max_score"))
+
+
+# ---- tables behind plots, comparisons and features ---------------------------------------------------------------------------
+_RANGES = {"qd": (0.0, 25.0), "fs": (0.0, 60.0), "mq": (20.0, 80.0)}
+
+
+@query(f"{WITH} " + " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST(least(50, floor(({m} - {lo}::DOUBLE) * 50 / {hi - lo}::DOUBLE) + 1) AS INTEGER) AS bin, count(*) AS n FROM vars WHERE {m} BETWEEN {lo} AND {hi} GROUP BY 2" for m, (lo, hi) in _RANGES.items()))
+def variant_histograms(spark, c):
+    return plotdata.variant_histograms(c.variants, _RANGES)
+
+
+@query(f"""{WITH}, {_MAD}, b AS (SELECT pop, metric, median - 4 * mad AS lower, median + 4 * mad AS upper FROM bounds), sp AS (SELECT pop, metric, min(value) AS lo, max(value) AS hi FROM long WHERE value IS NOT NULL GROUP BY ALL),
+  k AS (SELECT pop, metric, value, lower, upper, CAST(least(30, floor(coalesce((value - lo) * 30 / nullif(hi - lo, 0), 0)) + 1) AS INTEGER) AS bin FROM long JOIN sp USING (pop, metric) JOIN b USING (pop, metric) WHERE value IS NOT NULL)
+  SELECT pop, metric, bin, count(*) AS n, CAST(sum(count(*) FILTER (WHERE value < lower)) OVER w AS BIGINT) AS below, CAST(sum(count(*) FILTER (WHERE value > upper)) OVER w AS BIGINT) AS above FROM k GROUP BY pop, metric, bin WINDOW w AS (PARTITION BY pop, metric)""")
+def stratified_histograms(spark, c):
+    wide = _stratified(c).select("pop", *[F.col(m).cast("double").alias(m) for m in METRICS])
+    return plotdata.stratified_histograms(wide, "pop", METRICS, A.mad_bounds(wide, "pop", METRICS)).drop("lower", "upper")
+
+
+SQL["kinship_histogram"] = ("SELECT CAST(least(50, floor((kin + 0.5::DOUBLE) * 50 / 1.0::DOUBLE) + 1) AS INTEGER) AS bin, count(*) AS n FROM relatedness_ht WHERE kin BETWEEN -0.5 AND 0.5 AND NOT isnan(kin) GROUP BY 1")
+QUERIES["kinship_histogram"] = lambda spark, sf: plotdata.kinship_histogram(read_table(spark, sf, "relatedness_ht"))
+
+
+@query(f"{WITH} SELECT sid, s, pop, call_rate FROM smp LEFT JOIN (SELECT sid, CAST(count(gt) AS DOUBLE) / (SELECT count(*) FROM vars) AS call_rate FROM ents GROUP BY sid) USING (sid)")
+def sample_lookup(spark, c):
+    return joins.annotate(c.samples, A.sample_call_rate(c.entries, c.variants.count()), ["sid"], ["call_rate"])
+
+
+@query(f"{WITH}, o AS (SELECT vid, sid, gt, CAST(gq + CASE WHEN vid % 7 = 0 THEN 1 ELSE 0 END AS INTEGER) AS gq FROM ents WHERE NOT (vid % 11 = 0 AND sid = 3)), b AS (SELECT e.vid, e.sid, e.gt AS gt1, e.gq AS gq1, o.gt AS gt2, o.gq AS gq2 FROM ents e LEFT JOIN o ON o.vid = e.vid AND o.sid = e.sid)"
+  " SELECT vid, sid, 'gq' AS \"column\", CAST(gq1 AS VARCHAR) AS \"left\", CAST(gq2 AS VARCHAR) AS \"right\" FROM b WHERE gq1 IS DISTINCT FROM gq2 UNION ALL SELECT vid, sid, 'gt', CAST(gt1 AS VARCHAR), CAST(gt2 AS VARCHAR) FROM b WHERE gt1 IS DISTINCT FROM gt2")
+def entry_differences(spark, c):
+    """The cohort against a copy with changed and missing cells."""
+    other = c.entries.where("not (vid % 11 = 0 and sid = 3)").withColumn("gq", (F.col("gq") + F.when(F.col("vid") % 7 == 0, 1).otherwise(0)).cast("int"))
+    return joins.differences(c.entries, other, ["vid", "sid"], ["gt", "gq"])
+
+
+@query(
+    f"""{WITH}, {_VC}, {_TRIO}, {_TU}, st AS (SELECT vid, CAST(coalesce(sum(t), 0) AS BIGINT) AS n_transmitted_raw FROM tu GROUP BY vid),
+f AS (SELECT v.vid, {_KIND} AS kind, CASE WHEN qd >= 3 THEN qd END AS qd, fs, mq, tp, fp, tp OR vid % 7 = 0 AS truth, coalesce(qd < 2 OR fs > 60 OR mq < 30, false) AS hard, coalesce(n_transmitted_raw = 1 AND ac = 2, false) AS single FROM vars v LEFT JOIN vc USING (vid) LEFT JOIN st USING (vid)),
+m AS (SELECT kind, median(qd) AS qd FROM f GROUP BY kind) SELECT f.vid, f.kind, coalesce(f.qd, m.qd) AS qd, f.qd IS NULL AS qd_imputed, f.fs, truth AS tp, coalesce(CASE WHEN f.qd IS NULL THEN fs > 60 OR mq < 30 OR NULL ELSE hard END, false) AS fp, single AS transmitted_singleton FROM f JOIN m ON m.kind = f.kind"""
+)
+def forest_features(spark, c):
+    """Features from side tables, labels and filled gaps."""
+    from cohortqc.plans.steps import forest_features as step
+
+    v = c.variants.select("vid", G.allele_class().alias("kind"), F.when(F.col("qd") >= 3, F.col("qd")).alias("qd"), "fs", "mq")
+    t, _ = family.transmissions()
+    tables = {
+        "stats": A.variant_counts(c.entries, 25).select("vid", F.col("ac").alias("ac_raw")),
+        "trios": _trio(c).groupBy("vid").agg(F.coalesce(F.sum(t), F.lit(0)).alias("n_transmitted_raw")),
+        "truth": c.variants.select("vid", F.col("tp").alias("omni"), (F.col("vid") % 7 == 0).alias("mills"), F.lit(False).alias("kgp_phase1_hc"), F.lit(False).alias("hapmap")),
+    }
+    return step(v, tables, ["qd"], "kind").select("vid", "kind", "qd", "qd_imputed", "fs", "tp", "fp", "transmitted_singleton")

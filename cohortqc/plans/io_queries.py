@@ -54,7 +54,7 @@ def _cohort_vcf(spark: SparkSession, sf: str) -> tuple[list[str], vcf.Header]:
     formats = [vcf.Field("GT", "1", "String"), vcf.Field("AD", "R", "Integer"), vcf.Field("DP", "1", "Integer"), vcf.Field("GQ", "1", "Integer")]
     samples = [str(k) for k in range(25)]
     path = scratch(spark, "cohort")
-    vcf.write_by_contig(vcf.vcf_lines(sites, entries, samples, ["rf_bin", "qd", "tp"], ["gt", "ad", "dp", "gq"]), vcf.header_lines(samples, G.CONTIGS, info, formats), path)
+    vcf.write_by_contig(vcf.vcf_lines(sites, entries, samples, ["rf_bin", "qd", "tp"], ["gt", "ad", "dp", "gq"]), vcf.header_lines(samples, G.CONTIGS, info, formats), path, blocks=True)
     folders = [f for f in vcf.list_files(spark, path, "contig=")]
     return folders, vcf.read_header(spark, folders[0])
 

@@ -38,7 +38,7 @@ def _formats(names: Sequence[str]) -> list[vcf.Field]:
 def _write(variants: DataFrame, entries: DataFrame, samples: Sequence[str], fields: Sequence[vcf.Field], formats: Sequence[str], path: str, contigs: Sequence[str]) -> None:
     info = [f for f in fields if f.name in variants.columns]
     lines = vcf.vcf_lines(variants, entries, samples, [f.name for f in info], formats)
-    vcf.write_by_contig(lines, vcf.header_lines(samples, contigs, info, _formats(formats)), path, contigs)
+    vcf.write_by_contig(lines, vcf.header_lines(samples, contigs, info, _formats(formats)), path, contigs, blocks=True)
 
 
 def export_tiers(variants: DataFrame, entries: DataFrame, samples: Sequence[str], filters: Mapping, model_id: str, path: str, contigs: Sequence[str] = CONTIGS) -> None:

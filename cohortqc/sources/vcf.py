@@ -389,8 +389,72 @@ def header_lines(samples: Sequence[str], contigs: Sequence[str] = (), info: Sequ
 PART_SITES = 200_000
 
 
-def write_by_contig(lines: DataFrame, header: Sequence[str], path: str, contigs: Sequence[str] | None = None, part_sites: int = PART_SITES) -> None:
+#: Bytes of text in one written block.
+BLOCK_TEXT = 65_280
+
+
+def block(data: bytes) -> bytes:
+    """One block of at most BLOCK_TEXT bytes: a gzip member with its own length in the extra field BC."""
+    deflate = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = deflate.compress(data) + deflate.flush()
+    if len(body) > _LARGEST - 26:  # cannot be made smaller: stored as it is
+        deflate = zlib.compressobj(0, zlib.DEFLATED, -15)
+        body = deflate.compress(data) + deflate.flush()
+    size = (len(body) + 25).to_bytes(2, "little")
+    return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + size + body + zlib.crc32(data).to_bytes(4, "little") + len(data).to_bytes(4, "little")
+
+
+def _write_blocks(rows: DataFrame, path: str) -> None:
+    """Rows (contig, value), ordered within partitions, as block-compressed files in a folder per contig.
+
+    A task writes under a name of its own and renames what is complete, so a repeated task leaves no second file.
+    """
+    spark = rows.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(target, True)
+    root = str(system.makeQualified(target).toString())
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        system, base = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", root))
+        name, files, out, now, held = f"part-{task.partitionId():06d}.vcf.bgz", 0, None, None, bytearray()
+
+        def close() -> None:
+            for k in range(0, len(held), BLOCK_TEXT):
+                out.write(block(bytes(held[k : k + BLOCK_TEXT])))
+            out.write(block(b""))
+            out.close()
+            system.move(f"{base}/_{task.taskAttemptId()}-{now}", f"{base}/contig={now}/{name}")
+            held.clear()
+
+        for batch in batches:
+            for contig, value in zip(batch.column("contig").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                if contig != now:
+                    if out is not None:
+                        close()
+                    now, files = contig, files + 1
+                    system.create_dir(f"{base}/contig={now}", recursive=True)
+                    out = system.open_output_stream(f"{base}/_{task.taskAttemptId()}-{now}", compression=None)
+                held += value.encode() + b"\n"
+                if len(held) >= 16 * BLOCK_TEXT:
+                    whole = len(held) // BLOCK_TEXT * BLOCK_TEXT
+                    for k in range(0, whole, BLOCK_TEXT):
+                        out.write(block(bytes(held[k : k + BLOCK_TEXT])))
+                    del held[:whole]
+        if out is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], ["files"])
+
+    rows.select("contig", "value").mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
+def write_by_contig(lines: DataFrame, header: Sequence[str], path: str, contigs: Sequence[str] | None = None, part_sites: int = PART_SITES, blocks: bool = False) -> None:
     """One folder per contig in a single job; its files, joined in the order of their names, are one sorted VCF file.
+    They are gzip files, or with ``blocks`` block-compressed ones.
 
     Sites are parted by ranges of (contig, pos), so that a chromosome is written by several tasks; the first of its
     files begins with the header.
@@ -403,5 +467,9 @@ def write_by_contig(lines: DataFrame, header: Sequence[str], path: str, contigs:
     both = head.unionByName(lines)
     order = ("contig", "pos", "alleles")
     parts = max(1, math.ceil(lines.count() / part_sites))
-    both.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("contig", F.col("line").alias("value")).write.partitionBy("contig").mode("overwrite").option("compression", "gzip").text(path)
+    rows = both.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("contig", F.col("line").alias("value"))
+    if blocks:
+        _write_blocks(rows, path)
+    else:
+        rows.write.partitionBy("contig").mode("overwrite").option("compression", "gzip").text(path)
     release(lines)

@@ -173,7 +173,8 @@ def test_block_compressed_files_are_read_by_several_tasks(spark, tmp_path, monke
         vcf.read_header(spark, str(tmp_path / "e.vcf"))
 
 
-def test_lines_fill_in_missing_samples_and_are_written_in_parts(spark, tmp_path):
+@pytest.mark.parametrize("blocked", [False, True])
+def test_lines_fill_in_missing_samples_and_are_written_in_parts(spark, tmp_path, blocked):
     sites = spark.createDataFrame([("chr1", k, ["A", "C"]) for k in range(1, 30)] + [("chr2", 5, ["A", "C"])], "contig string, pos int, alleles array<string>")
     names = [f"s{k}" for k in range(6)]
     calls = [("chr1", p, ["A", "C"], names[k], {"a0": 0, "a1": 1, "phased": False}, 7) for p in range(1, 30) for k in range(6) if (p * 7 + k * k) % 3 == 0] + [("chr1", 3, ["A", "C"], "s1", None, 1), ("chr1", 3, ["A", "C"], "other", None, 1)]
@@ -184,8 +185,10 @@ def test_lines_fill_in_missing_samples_and_are_written_in_parts(spark, tmp_path)
         cells = r["line"].split("\t")[9:]
         for s, cell in zip(names, cells, strict=True):
             assert cell == ("0/1:7" if (r["contig"], r["pos"], s) in have else "./.:1" if (r["pos"], s) == (3, "s1") else "./.:."), (r, s)
-    vcf.write_by_contig(lines, vcf.header_lines(names, ["chr1", "chr2"]), str(tmp_path / "o"), part_sites=8)
-    files = sorted((tmp_path / "o" / "contig=chr1").glob("*.gz"))
+    vcf.write_by_contig(lines, vcf.header_lines(names, ["chr1", "chr2"]), str(tmp_path / "o"), part_sites=8, blocks=blocked)
+    files = sorted((tmp_path / "o" / "contig=chr1").glob("*gz"))
+    assert not list((tmp_path / "o").glob("_[0-9]*"))
+    assert all(vcf._kind(str(f)) == ("blocks" if blocked else "gzip") for f in files)
     assert len(files) > 1
     whole = "".join(gzip.open(f, "rt").read() for f in files).splitlines()
     assert [x.startswith("#") for x in whole] == [True] * 4 + [False] * 29 and [int(x.split("\t")[1]) for x in whole[4:]] == list(range(1, 30))
@@ -204,3 +207,11 @@ def test_plink_segments(spark, tmp_path):
             g = 3 if k == 4 else gt[k, s]
             assert bed[3 + n * 2 + m // 4] >> (2 * (m % 4)) & 3 == {0: 3, 1: 2, 2: 0, 3: 1}[g]
     assert not (tmp_path / "x" / "p.segments").exists()
+
+
+def test_blocks_are_gzip_members_of_known_length():
+    import os
+
+    for data in (b"", b"x" * vcf.BLOCK_TEXT, os.urandom(vcf.BLOCK_TEXT)):
+        b = vcf.block(data)
+        assert vcf.block_size(b) == len(b) and gzip.decompress(b) == data
