@@ -112,4 +112,5 @@ def differences(left: DataFrame, right: DataFrame, keys: Sequence[str], columns:
 
     text = lambda c: F.col(c).cast("string")
     cells = [F.when(differ(c), F.struct(F.lit(c).alias("column"), text(f"_l_{c}").alias("left"), text(f"_r_{c}").alias("right"))) for c in columns]
-    return both.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("x")).select(*keys, "x.*")
+    cell = F.col("_cell")  # field by field: "_cell.*" could also name a table alias of the input
+    return both.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("_cell")).select(*keys, *[cell[c].alias(c) for c in ("column", "left", "right")])

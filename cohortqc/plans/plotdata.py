@@ -61,7 +61,7 @@ def variant_histograms(variants: DataFrame, ranges: Mapping[str, tuple[float, fl
         v = F.col(c).cast("double")
         k = F.least(F.lit(bins), (F.floor((v - lo) * bins / (hi - lo)) + 1).cast("int"))
         each.append(F.struct(F.lit(c).alias("metric"), F.when(v.between(lo, hi), k).alias("bin")))
-    return variants.select(F.explode(F.array(*each)).alias("x")).select("x.*").where("bin is not null").groupBy("metric", "bin").agg(F.count("*").alias("n"))
+    return variants.select(F.explode(F.array(*each)).alias("_x")).select("_x.*").where("bin is not null").groupBy("metric", "bin").agg(F.count("*").alias("n"))
 
 
 def stratified_histograms(samples: DataFrame, stratum: str, metrics: Sequence[str], bounds: DataFrame, bins: int = 30) -> DataFrame:
