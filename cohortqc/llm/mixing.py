@@ -167,5 +167,27 @@ def mix_sources(sizes: DataFrame, mix_targets: DataFrame, total: int | None = No
     return used, report.select("source", "target_share", "max_repeats", "available", "budget", "tokens", "actual_share", "docs", "most_copies")
 
 
+def audit(used: DataFrame, report: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(source, target_share, max_repeats, docs_unique, repeats_kept, budget_kept, share_kept) per target: every document
+    stands once in ``used`` and at most max_repeats times in the mixture; tokens and copies add up to the report and
+    to no more than the budget, and no document of the source that could be used once more fits into what is left of it;
+    the share is off by no more than what is left of all budgets, and a token per source. doc_id must be unique."""
+    per = used.groupBy("source").agg(F.count("*").alias("rows"), F.count_distinct("doc_id").alias("ids"), F.max("copies").alias("most"), F.sum(F.col("tokens") * F.col("copies")).alias("sum"))
+    limit = report.select("source", F.least(F.col("max_repeats"), F.floor(F.try_divide(F.col("budget").cast("double"), F.col("available").cast("double"))) + 1).alias("limit"))
+    spare = sizes.where("tokens > 0").join(F.broadcast(limit), "source").join(used.select("doc_id", "copies"), "doc_id", "left")
+    spare = spare.where(F.coalesce("copies", F.lit(0)) < F.col("limit")).groupBy("source").agg(F.min("tokens").alias("spare"))
+    j = report.join(per, "source", "left").join(spare, "source", "left").fillna(0, ["rows", "ids", "most", "sum"])
+    whole = report.agg(F.sum("tokens").alias("all"), F.sum(F.col("budget") - F.col("tokens")).alias("left"), F.count("*").alias("sources"), F.sum(F.when(F.col("budget") > 0, F.col("target_share"))).alias("live"))
+    j = j.crossJoin(F.broadcast(whole))  # one row
+    left = F.col("budget") - F.col("tokens")
+    off = F.abs(F.coalesce("actual_share", F.lit(0.0)) - F.when(F.col("budget") > 0, F.try_divide("target_share", "live")).otherwise(0.0))
+    return j.select(
+        "source", "target_share", "max_repeats",
+        (F.col("rows") == F.col("ids")).alias("docs_unique"), (F.col("most") <= F.col("max_repeats")).alias("repeats_kept"),
+        ((F.col("sum") == F.col("tokens")) & (left >= 0) & (F.col("spare").isNull() | (F.col("spare") > left))).alias("budget_kept"),
+        (off <= F.coalesce(F.try_divide((F.col("left") + F.col("sources")).cast("double"), F.col("all").cast("double")), F.lit(0.0))).alias("share_kept"),
+    )
+
+
 def mix_documents(documents: DataFrame, mix_targets: DataFrame, vocabulary: str = VOCABULARY, **options) -> tuple[DataFrame, DataFrame]:
     return mix_sources(materialize(document_sizes(documents, vocabulary)), mix_targets, **options)

@@ -1,32 +1,37 @@
 """Filling fixed-capacity containers with items (problem 8).
 
 Mixture-controlled packing: every source has a queue of items. A container (window) is filled by deficit
-round-robin: the source that is furthest behind its target share gives its largest item that still fits, until no
-queue has one; what a source is ahead or behind is carried to the next container. Only an item longer than a
-container is split: into full containers and one rest, which is queued like any item.
+round-robin: with each container every source is credited its target share of the capacity; the source with the
+largest credit gives its largest item that still fits, until no queue has one; what a source is ahead or behind is
+carried to the next container. Only an item longer than a container is split: into full containers and one rest,
+which is queued like any item.
 
 Scale: items are spread over shards of about SHARD_TOKENS by a hash of their identifier, so a source or a
 group of copies is never in one task. A shard's first deficits are what the shards before it leave over; since
-a shard packs all its items, that is known from the shards' totals alone and needs no order of execution.
+a shard packs all its items, that is known from the totals per shard and source alone (a table in long form, however
+many sources there are) and needs no order of execution.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from cohortqc.llm.tokens import VOCABULARY, document_sizes, encoder
-from cohortqc.session import materialize
+from cohortqc.llm.tokens import VOCABULARY, decoder, document_sizes, encoder
+from cohortqc.session import materialize, release
 
 CAPACITY = 2048
 SHARD_TOKENS = 4_000_000
+#: The deficits that shards start with are broadcast up to so many rows (shard, source).
+BROADCAST_STARTS = 500_000
 _PLACED = "container_id long, place int, doc_id long, part int, first_token long, tokens long, source string"
 
 
@@ -52,34 +57,37 @@ class Queue:
 
 def pack(sizes: np.ndarray, sources: np.ndarray, shares: np.ndarray, deficits: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
     """Containers as lists of item numbers; sizes are 1..capacity, sources 0..len(shares)-1."""
-    queues = {s: Queue(sizes[at], at) for s in range(len(shares)) if len(at := np.flatnonzero(sources == s))}
+    order = np.argsort(sources, kind="stable")
+    cuts = np.flatnonzero(np.diff(sources[order])) + 1
+    queues = {int(sources[at[0]]): Queue(sizes[at], at) for at in np.split(order, cuts) if len(at)}
     behind = {s: float(deficits[s]) for s in queues}
     share = {s: float(shares[s]) for s in queues}
     containers = []
     while queues:
         room, held = capacity, []
-        while room:
-            fits = [(behind[s] + share[s] * (capacity - room), size, s) for s, q in queues.items() if (size := q.fit(room)) > 0]
-            if not fits:
-                break
-            # a single item that fills the room leaves nothing over; else the source furthest behind
-            _, size, s = max(fits)
+        waiting = [(-behind[s] - share[s] * capacity, s) for s in queues]
+        heapq.heapify(waiting)
+        while room and waiting:
+            credit, s = waiting[0]
+            size = queues[s].fit(room)
+            if size <= 0:  # nothing of this source fits any more: room only shrinks
+                heapq.heappop(waiting)
+                continue
             held.append(queues[s].take(size))
             behind[s] -= size
             room -= size
-            if not queues[s].bits:
+            if queues[s].bits:
+                heapq.heapreplace(waiting, (credit + size, s))
+            else:
+                heapq.heappop(waiting)
                 del queues[s]
-                if not queues:
-                    break
-        for s in behind:
+        for s in queues:
             behind[s] += share[s] * (capacity - room)
         containers.append(held)
     return containers
 
 
-def _packer(names: list[str | None], shares: list[float], capacity: int):
-    position = {n: k for k, n in enumerate(names)}
-
+def _packer(capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in batches if b.num_rows]
         if not parts:
@@ -87,9 +95,9 @@ def _packer(names: list[str | None], shares: list[float], capacity: int):
         table = pa.Table.from_batches(parts).to_pandas()
         for shard, rows in table.groupby("shard", sort=True):
             rows = rows.sort_values(["order", "doc_id", "part"])
-            source = rows["source"].map(lambda x: position[x if isinstance(x, str) else None]).to_numpy()
-            size = rows["tokens"].to_numpy()
-            containers = pack(size, source, np.array(shares), np.array(rows["deficits"].iloc[0], float), capacity)
+            _, at, code = np.unique(rows["source_key"].to_numpy(str), return_index=True, return_inverse=True)
+            first = rows.iloc[at]
+            containers = pack(rows["tokens"].to_numpy(), code, first["share"].to_numpy(), first["deficit"].to_numpy(), capacity)
             at = np.fromiter((i for c in containers for i in c), np.int64)
             length = np.array([len(c) for c in containers])
             number = np.repeat(np.arange(len(containers)), length)
@@ -127,21 +135,34 @@ def fill_containers(
         "doc_id", "source", "shard_hash", "part", (F.col("part").cast("long") * capacity).alias("first_token"),
         F.least(F.lit(capacity), F.col("all") - F.col("part").cast("long") * capacity).cast("long").alias("tokens"),
     )
-    totals = {r["source"]: r["t"] for r in sizes.groupBy("source").agg(F.sum("tokens").alias("t")).collect()}  # a row per source
-    everything = sum(totals.values())
-    names = sorted(totals, key=lambda n: (n is None, n or ""))
-    shares = [totals[n] / everything for n in names] if target_shares is None else [float(target_shares.get(n, 0.0)) for n in names]
+    items = cut.withColumn("order", F.xxhash64("doc_id", F.lit(seed + 1))).withColumn("source_key", _source_key())
+    everything = sizes.agg(F.sum("tokens").alias("t")).first()["t"] or 0
     shards = max(1, math.ceil(everything / shard_tokens))
-    items = cut.withColumn("shard", F.pmod("shard_hash", F.lit(shards))).withColumn("order", F.xxhash64("doc_id", F.lit(seed + 1)))
-    # per shard and source: tokens; the prefix sums over shards are the deficits a shard starts with
-    per = items.groupBy("shard").agg(F.sum("tokens").alias("t"), *[F.sum(F.when(F.col("source").eqNullSafe(F.lit(n)), F.col("tokens")).otherwise(0)).alias(f"t{k}") for k, n in enumerate(names)])
-    before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)  # one short row per shard
-    start = [F.coalesce(F.sum(F.lit(float(s)) * F.col("t") - F.col(f"t{k}")).over(before), F.lit(0.0)) for k, s in enumerate(shares)]
-    first = per.select("shard", (F.array(*start) if start else F.array().cast("array<double>")).alias("deficits"))
+    items = items.withColumn("shard", F.pmod("shard_hash", F.lit(shards))).drop("shard_hash")
+    # tokens per shard and source; the sums over the shards before are the deficits a shard starts with
+    per = materialize(items.groupBy("shard", "source_key").agg(F.sum("tokens").alias("t")))
+    before = W.rowsBetween(W.unboundedPreceding, -1)
+    whole = per.groupBy("shard").agg(F.sum("t").alias("all")).withColumn("all", F.coalesce(F.sum("all").over(before.orderBy("shard")), F.lit(0)))  # one short row per shard
+    own = per.withColumn("own", F.coalesce(F.sum("t").over(before.partitionBy("source_key").orderBy("shard")), F.lit(0)))
+    if target_shares is None:
+        share = per.groupBy("source_key").agg((F.sum("t").cast("double") / max(1, everything)).alias("share"))
+    else:
+        share = sizes.sparkSession.createDataFrame([(n, float(x)) for n, x in target_shares.items()], "source string, share double").select(_source_key().alias("source_key"), "share")
+    first = own.join(whole, "shard").join(share, "source_key", "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
+    first = materialize(first.select("shard", "source_key", "share", (F.col("share") * F.col("all") - F.col("own")).alias("deficit")))
+    release(per)
     tasks = min(shards, max(sizes.sparkSession.sparkContext.defaultParallelism, shards // 4))
-    spread = items.drop("shard_hash").repartition(tasks, "shard")
-    joined = spread.join(F.broadcast(first) if shards <= 100_000 else first, "shard")
-    return joined.mapInArrow(_packer(names, shares, capacity), _PLACED)
+    spread = items.repartition(tasks, "shard")
+    if first.count() <= BROADCAST_STARTS:
+        joined = spread.join(F.broadcast(first), ["shard", "source_key"])
+    else:  # a shard and source have at most a shard's items
+        joined = items.join(first, ["shard", "source_key"]).repartition(tasks, "shard")
+    return joined.mapInArrow(_packer(capacity), _PLACED)
+
+
+def _source_key() -> Column:
+    """A source's name, and for a null source one that no name can be."""
+    return F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source"))
 
 
 def pack_documents(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, **options) -> DataFrame:
@@ -169,6 +190,35 @@ def container_tokens(placed: DataFrame, documents: DataFrame, vocabulary: str =
     return texts.mapInArrow(run, "container_id long, place int, doc_id long, part int, ids array<int>")
 
 
+def reassembled(placed: DataFrame, documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(doc_id, text): each document decoded again from the pieces in its containers. ``doc_id`` must be unique in ``documents``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode = decoder(vocabulary)
+        for batch in batches:
+            texts = [decode([i for p in sorted(pieces, key=lambda p: p["part"]) for i in p["ids"]]) for pieces in batch.column("pieces").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    pieces = container_tokens(placed, documents, vocabulary).groupBy("doc_id").agg(F.collect_list(F.struct("part", "ids")).alias("pieces"))  # of one document
+    return pieces.mapInArrow(run, "doc_id long, text string")
+
+
+def audit(placed: DataFrame, sizes: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(rule, violations): containers beyond the capacity, short items that were split, items of which tokens are missing
+    or stand twice, and gaps in the places of a container. ``doc_id`` must be unique in ``sizes``."""
+    per = placed.groupBy("container_id").agg(F.sum("tokens").alias("t"), F.count("*").alias("n"), F.max("place").alias("last"), F.count_distinct("place").alias("places"))
+    per = per.agg(F.count_if(F.col("t") > capacity).alias("over_capacity"), F.count_if((F.col("last") + 1 != F.col("n")) | (F.col("places") != F.col("n"))).alias("gaps_in_places"))
+    end = F.col("first_token") + F.col("tokens")
+    docs = placed.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("tokens").alias("t"), F.max(end).alias("last"), F.count_distinct("first_token").alias("starts"))
+    docs = sizes.where("tokens > 0").select("doc_id", "tokens").join(docs, "doc_id", "full")
+    docs = docs.agg(
+        F.count_if(F.coalesce((F.col("n") > 1) & (F.col("tokens") <= capacity), F.lit(False))).alias("short_split"),
+        F.count_if(~F.coalesce((F.col("t") == F.col("tokens")) & (F.col("last") == F.col("tokens")) & (F.col("starts") == F.col("n")), F.lit(False))).alias("incomplete"),
+    )
+    rules = ["over_capacity", "gaps_in_places", "short_split", "incomplete"]
+    return per.crossJoin(docs).unpivot([], rules, "rule", "violations")  # one row each
+
+
 def fill_report(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(fill_percent, containers, items, tokens): how full the containers are, by whole percents."""
     per = placed.groupBy("container_id").agg(F.sum("tokens").alias("t"), F.count("*").alias("items"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortqc.llm import components, cutoffs, mixing, packing, percentiles, spans, topn
-from cohortqc.session import read_table
+from cohortqc.llm import components, cutoffs, mixing, packing, percentiles, spans, tokens, topn
+from cohortqc.session import materialize, read_table
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -22,12 +22,6 @@ def p3_span(spark: SparkSession, sf: str) -> DataFrame:
     return percentiles.entry_percentiles(read_table(spark, sf, "entries"), "2024-01-01", "2024-03-31")
 
 
-def p3_merged_days(spark: SparkSession, sf: str) -> DataFrame:
-    """The same quarter, from the summaries of single days."""
-    days = percentiles.day_counts(read_table(spark, sf, "entries"))
-    return percentiles.percentiles_of(days.where("day between date'2024-01-01' and date'2024-03-31'")).withColumnRenamed("grp", "s")
-
-
 def p3_merged_all_days(spark: SparkSession, sf: str) -> DataFrame:
     """The percentiles of p3_percentiles, from the summaries of all single days."""
     return percentiles.percentiles_of(percentiles.day_counts(read_table(spark, sf, "entries"))).withColumnRenamed("grp", "s")
@@ -64,6 +58,17 @@ def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
     return packing.fill_report(p8_containers(spark, sf))
 
 
+def p8_audit(spark: SparkSession, sf: str) -> DataFrame:
+    sizes = materialize(tokens.document_sizes(read_table(spark, sf, "documents")))
+    return packing.audit(materialize(packing.fill_containers(sizes)), sizes)
+
+
+def p8_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The texts decoded again from the token ids in their containers."""
+    documents = read_table(spark, sf, "documents")
+    return packing.reassembled(packing.pack_documents(documents), documents).select("doc_id", F.md5("text").alias("text_md5"))
+
+
 def _p9(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return mixing.mix_documents(read_table(spark, sf, "documents"), read_table(spark, sf, "mix_targets"))
 
@@ -76,6 +81,11 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return _p9(spark, sf)[1]
 
 
+def p9_audit(spark: SparkSession, sf: str) -> DataFrame:
+    sizes = materialize(tokens.document_sizes(read_table(spark, sf, "documents")))
+    return mixing.audit(*mixing.mix_sources(sizes, read_table(spark, sf, "mix_targets")), sizes)
+
+
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return spans.SharedSpans(read_table(spark, sf, "documents")).pairs()
 
@@ -95,7 +105,7 @@ def p10_without_spans(spark: SparkSession, sf: str) -> DataFrame:
     return rest.select("doc_id", F.char_length("text").cast("long").alias("kept_chars"), F.md5("text").alias("kept_md5"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_days, p3_merged_all_days, p3_day_counts, p4_found, p4_cutoffs, p5_found, p5_new_best_match, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_shared_chars, p10_classes, p10_without_spans)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_percentiles, p3_span, p3_merged_all_days, p3_day_counts, p4_found, p4_cutoffs, p5_found, p5_new_best_match, p8_containers, p8_fill, p8_audit, p8_round_trip, p9_mix, p9_shares, p9_audit, p10_found, p10_shared_chars, p10_classes, p10_without_spans)}
 
 _P2_SQL = """
 WITH RECURSIVE links AS (
@@ -156,7 +166,6 @@ SQL = {
     "p2_found": _P2_SQL,
     "p3_percentiles": _p3_sql(""),
     "p3_span": _p3_sql(_QUARTER),
-    "p3_merged_days": _p3_sql(_QUARTER),
     "p3_merged_all_days": _p3_sql(""),
     "p3_day_counts": " UNION ALL ".join(
         f"SELECT upper(trim(s, ' ')) AS grp, load_day AS day, '{m}' AS measure, CAST({code} AS BIGINT) AS code, count(*) AS n FROM entries WHERE s IS NOT NULL AND {m} IS NOT NULL{more} GROUP BY 1, 2, 4"
@@ -169,6 +178,9 @@ FROM rank_targets t LEFT JOIN cut c ON c.rank_id = t.rank_id AND c.var_class = t
 LEFT JOIN (SELECT rank_id, var_class, count(*) AS kept, max(bin) AS max_bin FROM kept GROUP BY ALL) k ON k.rank_id = t.rank_id AND k.var_class = t.var_class""",
     "p5_found": _P5_SQL + "SELECT data_sample, microarray_sample, CAST(place AS INTEGER) AS place FROM placed WHERE place <= 3",
     "p5_new_best_match": _P5_SQL + "SELECT data_sample, microarray_sample AS best_match_microarray_sample, score FROM placed WHERE place = 1",
+    "p8_audit": "SELECT unnest(['over_capacity', 'gaps_in_places', 'short_split', 'incomplete']) AS rule, CAST(0 AS BIGINT) AS violations",
+    "p8_round_trip": "SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE text <> ''",
+    "p9_audit": "SELECT lower(trim(source, ' ')) AS source, target_share, max_repeats, true AS docs_unique, true AS repeats_kept, true AS budget_kept, true AS share_kept FROM mix_targets",
     "p10_found": _P10_BASE + "SELECT doc_a, doc_b FROM pairs",
     "p10_shared_chars": _P10_BASE
     + """SELECT d.doc_id, coalesce(length(d.text), 0) AS n_chars, coalesce(s.part, 0) AS shared_chars, coalesce(round(100.0 * coalesce(s.part, 0)::DOUBLE / nullif(length(d.text), 0), 2), 0.0) AS shared_percent

@@ -41,7 +41,7 @@ SHARD_CHARS = 60_000
 #: Distinct windows of one anchor that one shard takes.
 SHARD_WINDOWS = 48
 #: Key lists of up to so many rows are broadcast.
-BROADCAST_KEYS = 1_000_000
+BROADCAST_KEYS = 300_000
 #: A key of more rows is met by broadcast in any case; there are at most rows / HEAVY_ROWS of them.
 HEAVY_ROWS = 1_000_000
 #: Members of a group that one task pairs with all others.

@@ -41,6 +41,15 @@ def encoder(path: str = VOCABULARY) -> Callable[[list[str]], list[list[int]]]:
     return _ENCODERS[path]
 
 
+def decoder(path: str = VOCABULARY) -> Callable[[list[int]], str]:
+    """A function that gives the text of token ids of a byte-level vocabulary."""
+    if not path.endswith(".tiktoken"):
+        raise ValueError(f"only byte-level vocabularies give texts back exactly: {path}")
+    with open(path, "rb") as f:
+        pieces = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
+    return lambda ids: b"".join(map(pieces.__getitem__, ids)).decode()
+
+
 def counter(path: str = VOCABULARY) -> Callable[[list[str]], list[int]]:
     """A function that gives the number of tokens of each text."""
     encode = encoder(path)

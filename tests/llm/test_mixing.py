@@ -4,6 +4,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortqc.llm import mixing as M
 from tests.util import rows
@@ -86,3 +87,18 @@ def test_repeated_rows(spark):
     sizes = spark.createDataFrame([(1, "a", 5)] * 4, "doc_id long, source string, tokens long")
     used, report = M.mix_sources(sizes, spark.createDataFrame([("a", 1.0, 2)], "source string, target_share double, max_repeats int"))
     assert rows(used, "copies") == [(2,)] * 4
+
+
+def test_audit_finds_faults(spark):
+    data = [(k, "ab"[k % 2], 10 + k % 5) for k in range(200)]
+    sizes = spark.createDataFrame(data, "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("a", 0.7, 1), ("b", 0.3, 2), ("c", 0.0, 1)], "source string, target_share double, max_repeats int")
+    used, report = M.mix_sources(sizes, targets)
+    marks = ("docs_unique", "repeats_kept", "budget_kept", "share_kept")
+    assert rows(M.audit(used, report, sizes), *marks) == [(True,) * 4] * 3
+    less = used.where("doc_id <> 0")
+    found = {r["source"]: tuple(r[m] for m in marks) for r in M.audit(less, report, sizes).collect()}
+    assert found["a"] == (True, True, False, True) and found["b"] == (True,) * 4
+    twice = used.unionByName(used.where("source = 'b'").limit(1)).withColumn("copies", F.col("copies") + (F.col("source") == "b").cast("int") * 2)
+    found = {r["source"]: tuple(r[m] for m in marks) for r in M.audit(twice, report, sizes).collect()}
+    assert found["b"][:2] == (False, False)

@@ -88,3 +88,21 @@ def test_round_trip(spark):
     assert set(per) == {k for k, t in texts.items() if t}
     want = tokens.encoder()(list(texts.values()))
     assert all([i for _, ids in sorted(per[k]) for i in ids] == w for k, w in zip(texts, want, strict=True) if w)
+
+
+def test_many_sources_need_no_column_each(spark, monkeypatch):
+    data = [(k, f"s{k % 1500}", k % 40 + 1) for k in range(3000)]
+    for limit in (500_000, 10):
+        monkeypatch.setattr(K, "BROADCAST_STARTS", limit)
+        n, total = check(data, K.fill_containers(frame(spark, data), 100, shard_tokens=20_000).collect(), 100)
+        assert total / (n * 100) > 0.95
+
+
+def test_audit_finds_each_kind_of_fault(spark):
+    sizes = spark.createDataFrame([(1, "a", 30), (2, "a", 150), (3, "b", 20), (4, "b", 10)], "doc_id long, source string, tokens long")
+    good = K.fill_containers(sizes, 100)
+    assert rows(K.audit(good, sizes, 100), "violations") == [(0,)] * 4
+    bad = spark.createDataFrame(
+        [(0, 0, 1, 0, 0, 20, "a"), (0, 2, 1, 1, 20, 10, "a"), (1, 0, 2, 0, 0, 150, "a"), (2, 0, 3, 0, 0, 20, "b"), (2, 1, 3, 1, 0, 20, "b")], good.schema
+    )
+    assert dict(rows(K.audit(bad, sizes, 100))) == {"over_capacity": 1, "gaps_in_places": 1, "short_split": 2, "incomplete": 2}
