@@ -108,7 +108,7 @@ def _products(scores: DataFrame) -> DataFrame:
     """(i, j, g): the products of all samples' scores, which no sign and no rotation of the components changes."""
     one, two = scores.select(F.col("sid").alias("i"), F.col("scores").alias("a")), scores.select(F.col("sid").alias("j"), F.col("scores").alias("b"))
     dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    return one.join(F.broadcast(two)).select("i", "j", F.round(dot, 6).alias("g"))  # 25 samples
+    return one.join(F.broadcast(two)).select("i", "j", (F.round(dot, 6) + F.lit(0.0)).alias("g"))  # 25 samples
 
 
 @query(f"{WITH}, {_Z} SELECT i, j, round(g / (SELECT count(*) FROM fq WHERE varies), 6) + 0.0 AS g FROM gram")

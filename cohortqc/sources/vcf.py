@@ -428,7 +428,10 @@ def _write_blocks(rows: DataFrame, path: str) -> None:
                 out.write(block(bytes(held[k : k + BLOCK_TEXT])))
             out.write(block(b""))
             out.close()
-            system.move(f"{base}/_{task.taskAttemptId()}-{now}", f"{base}/contig={now}/{name}")
+            target = f"{base}/contig={now}/{name}"
+            if system.get_file_info(target).type != fs.FileType.NotFound:  # of an earlier attempt
+                system.delete_file(target)
+            system.move(f"{base}/_{task.taskAttemptId()}-{now}", target)
             held.clear()
 
         for batch in batches:
