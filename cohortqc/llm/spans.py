@@ -380,8 +380,9 @@ class SharedSpans:
         found = materialize(docs.mapInArrow(_anchors(self.span), "key long, text_key long, doc_id long, pos int"))
         shared = materialize(found.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("*").alias("n")).where("x < y").select("key", "n"))
         hits = _meet(found, shared, ["key"]).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("key", "pos")).alias("hits"))  # of one text, fewer than its characters
+        hits = materialize(hits)  # a written table has a known size: while it is small the texts need no shuffle
         rows = materialize(docs.join(hits, ["doc_id", "text_key"]).select("doc_id", "text", "hits").mapInArrow(_slices(self.span), _ROW))
-        release(found, shared)
+        release(found, shared, hits)
         return rows
 
     def _resolve(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
