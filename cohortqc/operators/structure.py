@@ -212,7 +212,7 @@ def pca(entries: DataFrame, k: int = 10) -> tuple[DataFrame, np.ndarray, DataFra
     """Scores (sid, scores), eigenvalues and loadings (vid, af, loadings) of the standardised genotypes.
 
     Tasks sum their variants' contribution to the samples' Gram matrix. Signs are fixed so that each component's
-    largest score in absolute value is positive.
+    largest score in absolute value is positive. Components beyond the matrix's rank have zero scores and loadings.
     """
     spark = entries.sparkSession
     sids = _sample_index(entries)
@@ -224,10 +224,13 @@ def pca(entries: DataFrame, k: int = 10) -> tuple[DataFrame, np.ndarray, DataFra
     k = min(k, len(sids))
     values, vectors = np.linalg.eigh(total / max(1, n))
     values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+    # the rows of standardised calls add up to 0, so at least one value is 0 but for rounding, on either side of it
+    real = values > len(sids) * np.finfo(float).eps * max(values[0], 0.0)
+    values = np.where(real, values, 0.0)
     vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(0), np.arange(k)])
     scores = vectors * np.sqrt(np.maximum(values, 0))
     score_df = spark.createDataFrame([(s, [float(x) for x in scores[i]]) for i, s in enumerate(sids)], f"sid {entries.schema['sid'].dataType.simpleString()}, scores array<double>")
-    weight = vectors / np.sqrt(np.maximum(values, 1e-300) * max(1, n))
+    weight = np.where(real, vectors, 0.0) / np.sqrt(np.where(real, values, 1.0) * max(1, n))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

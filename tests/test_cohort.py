@@ -314,6 +314,25 @@ def test_gram_is_summed_over_tiles_and_partitions(spark, monkeypatch):
     assert all(abs(scores[a] @ scores[b] - (z.T @ z)[a, b] / n) < 1e-9 for a in range(8) for b in range(8))
 
 
+def test_components_beyond_the_rank_load_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    g = rng.binomial(2, 0.4, (60, 8))
+    e = spark.createDataFrame([(v, s, int(g[v, s])) for v in range(60) for s in range(8)], "vid long, sid int, gt int")
+    z, eigh = structure._standardised(g.astype(float)), np.linalg.eigh
+    n = (np.abs(z).sum(1) > 0).sum()
+    for rounding in (1e-17, -1e-17):  # what is left of the eigenvalue 0
+
+        def rounded(m, rounding=rounding):
+            values, vectors = eigh(m)
+            return np.r_[rounding, values[1:]], vectors
+
+        monkeypatch.setattr(structure.np.linalg, "eigh", rounded)
+        _, values, loadings = structure.pca(e, 8)
+        got = {r["sid"]: np.array(r["scores"]) for r in structure.pc_project(e, loadings).collect()}
+        assert values[-1] == 0 and (values[:-1] > 0).all()
+        assert all(abs(got[a] @ got[b] - (z.T @ z)[a, b] / n) < 1e-9 for a in range(8) for b in range(8))
+
+
 def test_independent_set_on_a_chain_takes_few_rounds(spark, monkeypatch):
     rounds, write = [], structure.materialize
     monkeypatch.setattr(structure, "materialize", lambda df: rounds.append(1) or write(df))
