@@ -7,6 +7,7 @@ driver gets one matrix, whatever the number of partitions.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from cohortqc.functions import genetics as G
-from cohortqc.session import bounded_rows, materialize, release
+from cohortqc.session import bounded_rows, free_shuffles, materialize, release
 
 #: Dense matrices of samples by samples are made up to this size.
 MAX_SAMPLES = 4096
@@ -27,6 +28,8 @@ TILE_SAMPLES = 1024
 #: Blocks to a window of linkage pruning, and pairs of variants that a task of it holds at once.
 LD_BLOCKS = 4
 LD_CELLS = 1_000_000
+#: Calls of a region of linkage pruning, with the windows beside it, where it is longer than a window.
+LD_REGION = 4_000_000
 
 
 def impute_sex(entries: DataFrame, variants: DataFrame, aaf: float = 0.05, female_below: float = 0.4, male_above: float = 0.8) -> DataFrame:
@@ -132,12 +135,81 @@ def ld_pairs(entries: DataFrame, variants: DataFrame, window_bp: int = 1_000_000
 
 
 def ld_prune(entries: DataFrame, variants: DataFrame, window_bp: int = 1_000_000, r2: float = 0.2) -> DataFrame:
-    """Variants of an independent set of the correlated pairs; the more frequent minor allele is kept first, ties by lot."""
-    pairs = ld_pairs(entries, variants, window_bp, r2)
-    freq = entries.where("gt is not null").groupBy("vid").agg((F.sum("gt").cast("double") / (2 * F.count("*"))).alias("p"))
-    rank = freq.select(F.col("vid").alias("node"), F.struct((-F.least("p", 1 - F.col("p"))).alias("maf"), tie("vid"), "vid").alias("p"))
-    kept = independent_set(pairs, rank).where("kept").select(F.col("node").alias("vid"))
-    return variants.join(kept, "vid", "left_semi")
+    """Variants of the greedy independent set of the correlated pairs of :func:`ld_pairs`; the more frequent minor allele
+    is kept first, ties by lot. A vid has one place.
+
+    No pairs are written. A task holds the calls of one region of a contig and of the windows on both sides of it, and takes
+    the variants by priority: one that is kept drops what is correlated with it. What lies in the windows beside a region
+    also depends on variants outside, so neither it nor what it might drop is decided there, unless a kept variant drops
+    it. Undecided and kept variants go through another round, with the borders in other places; the first undecided one
+    is decided in every round. A contig of up to LD_REGION cells is one region and needs one round.
+    """
+    width = max(1, window_bp)
+    p = F.sum("gt").cast("double") / (2 * F.count("*"))
+    # calls are written and shuffled as plain rows: lists that a partial aggregate makes of one call each take twice as much
+    known = materialize(entries.where("gt is not null").select("vid", "sid", F.col("gt").cast("byte").alias("gt")))
+    free_shuffles(entries.sparkSession)
+    calls = known.repartition("vid").groupBy("vid").agg(F.collect_list(F.struct("sid", "gt")).alias("calls"), p.alias("p"))
+    order = [(-F.least("p", 1 - F.col("p"))).alias("maf"), F.unhex(tie("vid")).alias("tie")]
+    # written first, as a filter of variants by what follows from their vid would else be inferred for every row behind entries
+    place = materialize(variants.select("vid", "contig", F.col("pos").cast("long").alias("pos")).distinct())
+    state = materialize(calls.join(place, "vid").select("vid", "contig", "pos", *order, "calls", (F.col("contig").isNull() | F.col("pos").isNull()).alias("kept")))
+    release(place, known)
+    full = state.groupBy("contig", F.floor(F.col("pos") / width)).agg(F.count("*").alias("n"), F.max(F.size("calls")).alias("s")).agg(F.max("n").alias("n"), F.max("s").alias("s")).first()
+    core = width * max(1, LD_REGION // max(1, (full["n"] or 0) * (full["s"] or 0)) - 2)
+    columns = state.columns
+
+    def decided(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("pos", "ascending"), ("vid", "ascending")]).combine_chunks()
+        count, pos = len(table), table["pos"].to_numpy()
+        by_rank = pc.sort_indices(table, [("maf", "ascending"), ("tie", "ascending"), ("vid", "ascending")]).to_numpy()
+        rank = np.empty(count, int)
+        rank[by_rank] = np.arange(count)
+        lists = table["calls"].combine_chunks()
+        flat = lists.flatten()
+        sid = flat.field("sid").dictionary_encode()
+        row, col, n = np.repeat(np.arange(count), np.diff(lists.offsets.to_numpy())), sid.indices.to_numpy(), len(sid.dictionary)
+        gt = flat.field("gt").to_numpy(zero_copy_only=False)
+        m = np.zeros((count, 3 * n), np.int8)  # called, calls and their squares
+        m[row, col], m[row, n + col], m[row, 2 * n + col] = 1, gt, gt * gt
+        kept, inside = (table[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("kept", "inside"))
+        # what is open may be dropped by an earlier one; what is unsure has an earlier one that is not decided
+        open_, kept, unsure, final = ~kept, kept.copy(), ~inside & ~kept, kept.copy()
+        lows, highs = np.searchsorted(pos, pos - window_bp), np.searchsorted(pos, pos + window_bp, "right")
+        sums = np.zeros((3 * n, 6))
+        for u in by_rank:
+            if not (open_[u] or final[u]):
+                continue
+            if open_[u] and not unsure[u]:
+                kept[u], open_[u] = True, False
+            near = slice(lows[u], highs[u])
+            later = lows[u] + np.flatnonzero(open_[near] & (rank[near] > rank[u]))
+            if not kept[u]:
+                later = later[~unsure[later]]
+            if not len(later):
+                continue
+            c, x, xx = m[u, :n], m[u, n : 2 * n], m[u, 2 * n :]
+            sums[:n, 0], sums[:n, 1], sums[:n, 2], sums[n : 2 * n, 3], sums[n : 2 * n, 4], sums[2 * n :, 5] = c, x, xx, c, x, c
+            size, sx, sxx, sy, sxy, syy = (m[later].astype(float) @ sums).T
+            cov, var = size * sxy - sx * sy, (size * sxx - sx * sx) * (size * syy - sy * sy)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                hit = later[(var != 0) & (cov * cov / var > r2)]
+            if kept[u]:
+                open_[hit] = False
+            else:
+                unsure[hit] = True
+        out = table.set_column(table.schema.get_field_index("kept"), "kept", pa.array(kept))
+        return out.filter(pa.array(inside & (kept | open_))).select(columns)
+
+    for shift in itertools.cycle((0, core // 2)):
+        at = F.col("pos") + shift
+        region = lambda by, at=at: F.floor((at + by) / core).cast("long")
+        sides = state.where("contig is not null and pos is not null").withColumn("region", F.explode(F.sequence(region(-width), region(width)))).withColumn("inside", F.col("region") == region(0))
+        after = materialize(sides.groupBy("contig", "region").applyInArrow(decided, state.schema).unionByName(state.where("contig is null or pos is null")))
+        release(state)
+        state = after
+        if not state.where("not kept").limit(1).count():
+            return variants.join(state.select("vid"), "vid", "left_semi")
 
 
 def _arrow(entries: DataFrame) -> pa.DataType:

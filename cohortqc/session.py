@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -64,6 +65,12 @@ def release(*dfs: DataFrame) -> None:
                 _WRITTEN.remove((spark, path))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs removed now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

@@ -1,6 +1,9 @@
 """Queries that look at all of their rows, with the settings of the reference."""
 
+import hashlib
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cohortqc.operators import filling, filters, model, structure
@@ -36,6 +39,42 @@ def test_ld_prune_query_looks_at_the_whole_window(spark):
     assert rows(kept, "vid") == rows(structure.ld_prune(c.entries, filters.autosomal_snvs(c.variants)), "vid")
 
 
+def _greedily_pruned(pos, contig, g, called, window, r2):
+    count = len(pos)
+    p = [g[k, called[k]].sum() / (2 * called[k].sum()) if called[k].any() else None for k in range(count)]
+    kept = []
+    for k in sorted((k for k in range(count) if p[k] is not None), key=lambda k: (-min(p[k], 1 - p[k]), hashlib.md5(str(k).encode()).hexdigest(), k)):
+        for j in kept:
+            both = called[k] & called[j]
+            if contig[k] is not None and contig[j] == contig[k] and abs(pos[j] - pos[k]) <= window and g[k, both].std() > 0 and g[j, both].std() > 0 and np.corrcoef(g[k, both], g[j, both])[0, 1] ** 2 > r2:
+                break
+        else:
+            kept.append(k)
+    return set(kept)
+
+
+@pytest.mark.filterwarnings("ignore::RuntimeWarning")
+def test_ld_prune_decides_over_borders_and_writes_no_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    count = 400
+    pos, contig = rng.integers(1, 4000, count), [("chr1", "chr2")[k] for k in rng.integers(0, 2, count)]
+    contig[7] = None
+    g, called = rng.binomial(2, 0.4, (count, 9)), rng.random((count, 9)) < 0.8
+    called[11] = False
+    e = spark.createDataFrame([(k, s, int(g[k, s]) if called[k, s] else None) for k in range(count) for s in range(9)], "vid long, sid int, gt int")
+    v = spark.createDataFrame([(k, contig[k], int(pos[k])) for k in range(count)], "vid long, contig string, pos int")
+    written, write = [], structure.materialize
+    monkeypatch.setattr(structure, "materialize", lambda df: written.append(write(df)) or written[-1])
+    monkeypatch.setattr(structure, "release", lambda *dfs: None)
+    for window, cells in ((0, 1), (60, 1), (400, 1), (400, 4_000_000)):
+        written.clear()
+        monkeypatch.setattr(structure, "LD_REGION", cells, raising=False)
+        got = {r["vid"] for r in structure.ld_prune(e, v, window, 0.3123).collect()}
+        assert got == _greedily_pruned(pos, contig, g, called, window, 0.3123)
+        assert all("vid" in t.columns and t.count() <= called.sum() for t in written)
+        assert len(written) == 4 if cells > 1 else len(written) < 14
+
+
 def test_forest_queries_have_the_default_sizes(spark, monkeypatch):
     sizes, made = [], model.RandomForestClassifier
     monkeypatch.setattr(model, "RandomForestClassifier", lambda **k: sizes.append(k["numTrees"]) or made(**k))
