@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,8 +68,10 @@ def release(*dfs: DataFrame) -> None:
 
 def free_shuffles(spark: SparkSession) -> None:
     """Have the shuffle files of finished jobs removed now, not when the driver happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # a finished job is held until its last event has been handled
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
